@@ -7,6 +7,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,16 +41,17 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def byte_column(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray, pa.Array]:
-    """Bytes of a string column, their offsets (rows + 1), and the column with nulls made empty."""
-    col = batch.column(name)
-    if isinstance(col, pa.ChunkedArray):
-        col = col.combine_chunks()
-    col = col.cast(pa.large_binary()).fill_null(b"")
-    off = np.frombuffer(col.buffers()[1], np.int64)[col.offset : col.offset + len(col) + 1]
-    raw = col.buffers()[2]
-    data = np.frombuffer(raw, np.uint8)[off[0] : off[-1]] if raw is not None and len(off) else np.zeros(0, np.uint8)
-    return data, (off - off[0]) if len(off) else np.zeros(1, np.int64), col
+def texts_of(batch: pa.RecordBatch, name: str) -> list[bytes]:
+    """A string column as UTF-8 bytes; null is empty."""
+    return [x or b"" for x in batch.column(name).cast(pa.large_binary()).to_pylist()]
+
+
+def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All texts as one byte array, a line end before, between and after them; where each begins and ends."""
+    data = np.frombuffer(b"\n" + b"\n".join(texts) + b"\n", np.uint8)
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    begins = 1 + np.cumsum(sizes + 1) - (sizes + 1)
+    return data, begins, begins + sizes
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -93,7 +95,8 @@ def doc_chunks(batches, text: str, limit: int = 8 << 20):
     for batch in batches:
         if not batch.num_rows:
             continue
-        off = byte_column(batch, text)[1]
+        sizes = [x or 0 for x in pc.binary_length(batch.column(text).cast(pa.large_binary())).to_pylist()]
+        off = np.concatenate(([0], np.cumsum(sizes)))
         start = 0
         while start < batch.num_rows:
             stop = max(start + 1, int(np.searchsorted(off, off[start] + limit, "right")) - 1)

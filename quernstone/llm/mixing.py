@@ -134,13 +134,13 @@ def mix(docs: DataFrame, block: int = 64, share: float = 1.5, repeat: int = 2) -
 def mixed_stream(docs: DataFrame, block: int = 64, share: float = 1.5, repeat: int = 2) -> DataFrame:
     """(place, source_no, doc_id, first_word, words): what the mix reads, slot by slot."""
     _, pieces, slots = mix(docs, block, share, repeat)
-    return slots.join(pieces, ["source_no", "rank"])
+    return slots.hint("merge").join(pieces, ["source_no", "rank"])
 
 
 def taken(docs: DataFrame, block: int = 64, share: float = 1.5, repeat: int = 2) -> DataFrame:
     """(doc_id, size, source_size, target, taken) of every row: the words that the scheduled slots take of it."""
     rows, pieces, slots = mix(docs, block, share, repeat)
-    took = slots.join(pieces, ["source_no", "rank"]).groupBy("source_no", "start").agg(F.sum("words").alias("taken"))
+    took = slots.hint("merge").join(pieces, ["source_no", "rank"]).groupBy("source_no", "start").agg(F.sum("words").alias("taken"))
     some = rows.where("size > 0").join(took, ["source_no", "start"], "left")
     rest = rows.where("size = 0").withColumn("taken", F.lit(0).cast("long"))
     out = ["doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fertility, mixing, url_reputation
+from . import fertility, mixing, pieces, sharding, toxicity, url_reputation
 from .common import documents
 
 
@@ -16,10 +16,22 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_reputation.judge(documents(spark, sf_dir, "pages")).drop("bound")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+
+
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(documents(spark, sf_dir))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.measure(documents(spark, sf_dir))
 
 
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(documents(spark, sf_dir))
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
