@@ -37,6 +37,11 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bound_batches(spark: SparkSession, size: str = "16m") -> None:
+    """Arrow batches end at this many bytes, so that a batch of very long texts fits a worker."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

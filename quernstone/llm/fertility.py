@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import doc_chunks
+from .common import bound_batches, doc_chunks
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 SYMBOLS = b"#*$%&|<>"
@@ -171,4 +171,5 @@ def measure(docs: DataFrame, vocabulary: str = VOCABULARY, bands: dict[str, Band
                 names=[c.split()[0] for c in SCHEMA.split(", ")],
             )
 
+    bound_batches(docs.sparkSession)
     return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import doc_chunks, mix64
+from .common import bound_batches, doc_chunks, mix64
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -249,6 +249,7 @@ def encode(docs: DataFrame, vocabulary: str = VOCABULARY, remember: int = 400_00
             ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int32)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(counts, pa.int64()), ids], ["doc_id", "n_tokens", "ids"])
 
+    bound_batches(docs.sparkSession)
     return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
 
 

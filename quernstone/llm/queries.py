@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fertility, mixing, pieces, sharding, toxicity, url_reputation
+from . import fertility, jaccard, mixing, pieces, sharding, toxicity, url_reputation
 from .common import documents
 
 
@@ -20,6 +20,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
 
 
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(documents(spark, sf_dir))
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(documents(spark, sf_dir))
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_chunks, hash_tables, joined, powers, texts_of
+from .common import bound_batches, doc_chunks, hash_tables, joined, powers, texts_of
 
 SIZES = (3, 4, 5)
 BUCKET_BITS = 16
@@ -194,6 +194,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
             s = text_scores(model, texts_of(batch, "text"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(s), pa.array((s >= 0.5).astype(np.int32))], ["doc_id", "score", "predicted"])
 
+    bound_batches(docs.sparkSession)
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double, predicted int")
 
 
@@ -204,6 +205,7 @@ def clean_documents(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFra
         for batch in doc_chunks(batches, "text", 2 << 20):
             yield batch.filter(pa.array(text_scores(model, texts_of(batch, "text")) < 0.5))
 
+    bound_batches(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)
 
 
