@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fertility, jaccard, mixing, pieces, sharding, toxicity, url_reputation
+from . import fertility, jaccard, lines, mixing, pieces, sharding, toxicity, url_reputation
 from .common import documents
 
 
@@ -32,6 +32,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.measure(documents(spark, sf_dir))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.without_repeats(documents(spark, sf_dir), counts=True)
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(documents(spark, sf_dir))
 
