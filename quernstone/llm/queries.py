@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fertility, jaccard, lines, mixing, pieces, sharding, toxicity, url_reputation
+from . import fertility, jaccard, lines, mixing, pieces, sharding, substrings, toxicity, url_reputation
 from .common import documents
 
 
@@ -24,6 +24,10 @@ def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(documents(spark, sf_dir))
 
 
+def op5_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.dedup(documents(spark, sf_dir))
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(documents(spark, sf_dir))
 
