@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fertility, jaccard, lines, mixing, pieces, sharding, substrings, toxicity, url_reputation
+from . import fertility, jaccard, lines, mixing, neighbours, pieces, sharding, substrings, toxicity, url_reputation
 from .common import documents
 
 
@@ -32,6 +32,10 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(documents(spark, sf_dir))
 
 
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(documents(spark, sf_dir, "embeddings"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.measure(documents(spark, sf_dir))
 
