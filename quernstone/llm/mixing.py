@@ -157,7 +157,7 @@ def mix_documents(docs: DataFrame, share: float = 1.5, repeat: int = 2) -> DataF
     copies = rows.select("doc_id", F.col("h").alias("_h"), F.col("source").alias("_source"), "size", F.expr(" + ".join(f"int(start + {e} * source_size + size / 2 < target or (source_size = 0 and {e} = 0))" for e in range(repeat))).alias("copies"))
     # Rows that agree in id, source and size sit side by side in the stream; they share their copies.
     per = copies.groupBy("doc_id", "_source", "size").agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
-    d = docs.withColumn("_size", F.when(F.col("text").isNull(), 0).otherwise(F.regexp_count("text", F.lit(WORD))).cast("long")).alias("d")
-    joined = d.join(per.alias("p"), F.expr("d.doc_id <=> p.doc_id and d.source <=> p._source and d._size = p.size"))
+    d = docs.withColumn("__q_size", F.when(F.col("text").isNull(), 0).otherwise(F.regexp_count("text", F.lit(WORD))).cast("long")).alias("d")
+    joined = d.join(per.alias("p"), F.expr("d.doc_id <=> p.doc_id and d.source <=> p._source and d.__q_size = p.size"))
     n = F.expr("(p._copies + p._rows - 1) div p._rows")
-    return joined.where(n > 0).withColumn("_epoch", F.explode(F.sequence(F.lit(1), n))).select(*[F.col(f"d.`{c}`") for c in docs.columns])
+    return joined.where(n > 0).withColumn("__q_epoch", F.explode(F.sequence(F.lit(1), n))).select(*[F.col(f"d.`{c}`") for c in docs.columns])

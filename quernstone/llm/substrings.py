@@ -222,9 +222,11 @@ def repeated_windows(contexts: list[bytes], length: int) -> tuple[np.ndarray, np
 
 def spans_of(number: np.ndarray, start: np.ndarray) -> Iterator[tuple[int, list[tuple[int, int]]]]:
     """Ranges of consecutive window starts for each context number."""
+    if not len(number):
+        return
     order = np.lexsort((start, number))
     number, start = number[order], start[order]
-    first = np.flatnonzero(np.concatenate(([True], (number[1:] != number[:-1]) | (start[1:] != start[:-1] + 1)))) if len(number) else np.zeros(0, np.int64)
+    first = np.flatnonzero(np.concatenate(([True], (number[1:] != number[:-1]) | (start[1:] != start[:-1] + 1))))
     last = np.append(first[1:], len(number)) - 1
     out: dict[int, list[tuple[int, int]]] = {}
     for a, b in zip(first.tolist(), last.tolist(), strict=True):
