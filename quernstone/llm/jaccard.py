@@ -7,14 +7,14 @@ Order. Shingles are ordered by how often they were met: a bounded table holds th
 slice of every text, summed over the corpus), which go last; all others go by hash. Any order that all documents
 share gives whole results; this one keeps licence lines and shared passages out of the prefixes.
 Prefix. With n shingles, a partner shares at least o = ceil(0.75 n). The first n - o + k shingles of both then share
-k or more. k grows with a document's estimated candidate cost (the occurrences of heavy shingles in its prefix), and
-a pair needs min(k, k') shared prefix shingles before it is verified.
+k or more. k grows with a document's size and its estimated candidate cost (the occurrences of heavy shingles in its
+prefix), and a pair needs min(k, k') shared prefix shingles before it is verified.
 Candidates. Prefix shingles go to the reducers as packed arrays by hash range; those met in one document only end
-there, which is nearly all. The lists of the others are worked in rounds that never make all pairs of a list: first
-every document of a list meets the list's hub (its smallest id), pairs are verified, and components formed; a second
-hub is the smallest id outside the first one's component; then only pairs of a list whose documents still are in
-different components are left, and those are made and verified. Pairs inside one component need no look, as the
-component is the result. Copies of one set are grouped by a 128-bit digest beforehand.
+there, which is nearly all; so do documents with too few shared entries for any partner. The lists of the others are
+worked in two rounds that never make all pairs of a group of copies: first every document meets the hub (smallest id)
+that it shares most lists with, the pair is verified, and components are formed; then the pairs of a list whose
+documents still are in different components are made, counted and verified. Pairs inside one component need no look,
+as the component is the result. Copies of one set are grouped by a 128-bit digest beforehand.
 Verification. Sets of candidate documents are built once, joined to the pairs, and intersected exactly.
 
 Cases. Null, empty or blank text: no shingles, linked with nothing. Fewer than five words: the whole sequence is one
@@ -104,18 +104,27 @@ def ordered(s: np.ndarray, heavy: np.ndarray, cost: np.ndarray) -> tuple[np.ndar
     return np.concatenate((s[~known], s[tail])), np.concatenate((np.zeros(len(s) - len(tail), np.int64), weight))
 
 
+def needed(n: int, bonus: int, percent: int = PERCENT) -> int:
+    """k of a set of n shingles: one and one more for every 32, as each costs one prefix entry and spares pairs; `bonus` more for costly prefixes."""
+    return min(-(-percent * n // 100), 1 + n // 32 + bonus)
+
+
 def prefix(s: np.ndarray, heavy: np.ndarray, cost: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, int]:
-    """(the prefix, k): one more shared shingle is asked for each tenfold of the estimated candidates."""
+    """(the prefix, bonus): the bonus grows with each tenfold of the estimated candidates."""
     n = len(s)
     o = -(-percent * n // 100)
     row, price = ordered(s, heavy, cost)
     candidates = int(price[: n - o + 1].sum())
-    k = min(o, 1 + (candidates >= 100) + (candidates >= 1000) + (candidates >= 10000))
-    return row[: n - o + k], k
+    bonus = (candidates >= 100) + (candidates >= 1000) + (candidates >= 10000)
+    return row[: n - o + needed(n, bonus, percent)], bonus
+
+
+def needed_column(size: str, percent: int) -> F.Column:
+    return F.expr(f"least(({percent} * shiftright({size}, 3) + 99) div 100, 1 + shiftright({size}, 3) div 32 + ({size} & 7))")
 
 
 def postings(docs: DataFrame, heavy: np.ndarray, cost: np.ndarray, parts: int, words: int, percent: int) -> DataFrame:
-    """(part, shingles, docs, sizes): packed prefix entries of a slice, by hash range. The size holds n * 8 + k."""
+    """(part, shingles, docs, sizes): packed prefix entries of a slice, by hash range. The size holds n * 8 + bonus."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in doc_chunks(batches, "text"):
@@ -127,10 +136,10 @@ def postings(docs: DataFrame, heavy: np.ndarray, cost: np.ndarray, parts: int, w
                 key = (len(s), *digest(s))
                 if seen.setdefault(key, doc_id) != doc_id:
                     continue  # a copy within the slice: the digests tie it to the first
-                p, k = prefix(s, heavy, cost, percent)
+                p, bonus = prefix(s, heavy, cost, percent)
                 tokens.append(p)
                 owners.append(np.full(len(p), doc_id, np.int64))
-                sizes.append(np.full(len(p), len(s) * 8 + k, np.int64))
+                sizes.append(np.full(len(p), len(s) * 8 + bonus, np.int64))
             if not tokens:
                 continue
             t, o, z = np.concatenate(tokens), np.concatenate(owners), np.concatenate(sizes)
@@ -196,7 +205,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v")], ["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
     a, b = sets.select(F.col("doc").alias("u"), F.col("shingles").alias("a")), sets.select(F.col("doc").alias("v"), F.col("shingles").alias("b"))
-    wide = pairs.select("u", "v").hint("merge").join(a, "u").hint("merge").join(b, "v").select("u", "v", "a", "b")
+    wide = pairs.select("u", "v").join(a, "u").join(b, "v").select("u", "v", "a", "b")
     return wide.mapInArrow(run, "u long, v long")
 
 
@@ -220,6 +229,28 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     parts = max(16, int(total) // 1_500_000)
     lists = materialise(shared_lists(postings(docs, heavy, cost, parts, words, percent), percent), "jaccard-lists")
     entries = materialise(entries_of(lists), "jaccard-entries")
+    # a partner has 0.75 n shingles or more, so a document needs that many shared entries to have one
+    least = F.expr(f"({percent} * shiftright(size, 3) + 99) div 100")
+    floor = F.least((least * percent + 99) / 100, 1 + F.floor(least / 32))
+    able = entries.groupBy("doc", "size").agg(F.count("*").alias("c")).where(F.col("c") >= F.floor(floor)).select("doc")
+    entries = materialise(entries.join(able.distinct(), "doc", "left_semi"), "jaccard-able")
+
+    # copies of one set, and rows of one id, hang together before any pair is made
+    same = rows.where("doc_id is not null and n > 0")
+    copies = same.join(same.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("v"), F.count("*").alias("c")).where("c > 1"), ["d1", "d2", "n"]).where("doc_id <> v").select(F.col("doc_id").alias("u"), "v")
+    edges = materialise(copies.distinct(), "jaccard-copies")
+    labels = edges.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "node")
+
+    def labelled(of: DataFrame) -> DataFrame:
+        return of.join(labels.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+
+    # round one: each document meets the hub (smallest id) that most of its lists have, if they share enough
+    marked = materialise(labelled(entries), "jaccard-marked0")
+    hubs = marked.groupBy("list").agg(F.min_by(F.struct("doc", "component", "size"), "doc").alias("hub"))
+    met = marked.join(hubs, "list").where("component <> hub.component").groupBy("doc", "size", F.col("hub.doc").alias("v"), F.col("hub.size").alias("size2")).agg(F.count("*").alias("n"))
+    met = met.where(comparable("size", "size2", percent)).where(F.col("n") >= F.least(needed_column("size", percent), needed_column("size2", percent)))
+    tried = materialise(met.groupBy("doc").agg(F.min_by("v", F.struct(-F.col("n"), "v")).alias("v")).select(F.greatest("doc", "v").alias("u"), F.least("doc", "v").alias("v")).distinct(), "jaccard-pairs0")
+    # sets of all documents that can be in a pair: those with enough entries
     wanted = entries.select(F.col("doc").alias("doc_id")).distinct()
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,33 +258,20 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
             sets = shingle_sets(texts_of(batch, "text"), words)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["doc", "shingles"])
 
-    sets = materialise(docs.select("doc_id", "text").hint("merge").join(wanted, "doc_id", "left_semi").mapInArrow(build, "doc long, shingles binary").dropDuplicates(["doc", "shingles"]), "jaccard-sets")
-
-    # copies of one set, and rows of one id, hang together before any pair is made
-    same = rows.where("doc_id is not null and n > 0")
-    links = same.join(same.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("v"), F.count("*").alias("c")).where("c > 1"), ["d1", "d2", "n"]).where("doc_id <> v").select(F.col("doc_id").alias("u"), "v")
-    edges = materialise(links.distinct(), "jaccard-copies")
+    sets = materialise(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi").mapInArrow(build, "doc long, shingles binary"), "jaccard-sets")
+    edges = edges.unionByName(materialise(verified(tried, sets, percent), "jaccard-links0"))
     labels = components(edges)
 
-    def labelled(of: DataFrame) -> DataFrame:
-        return of.join(labels.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
-
-    done = spark.createDataFrame([], "u long, v long")
-    for k in range(3):
-        marked = materialise(labelled(entries), f"jaccard-marked{k}")
-        open_lists = marked.groupBy("list").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.min_by("doc", F.struct("component", "doc")).alias("first"), F.max_by(F.struct("doc", "component", "size"), F.struct("component", "doc")).alias("other"), F.min_by(F.struct("doc", "component", "size"), F.struct("component", "doc")).alias("hub")).where("least <> most")
-        hubs = open_lists.select("list", (F.col("hub") if k == 0 else F.col("other")).alias("hub"))
-        left = marked.join(hubs, "list")
-        if k < 2:
-            pairs = left.where("component <> hub.component").select(F.greatest("doc", "hub.doc").alias("u"), F.least("doc", "hub.doc").alias("v"), "size", F.col("hub.size").alias("size2")).where(comparable("size", "size2", percent)).select("u", "v").distinct()
-        else:
-            x, y = left.select("list", F.col("doc").alias("u"), F.col("component").alias("cu"), F.col("size").alias("su")), left.select("list", F.col("doc").alias("v"), F.col("component").alias("cv"), F.col("size").alias("sv"))
-            need = F.least(F.col("su").bitwiseAND(7), F.col("sv").bitwiseAND(7))
-            pairs = x.join(y, "list").where("u > v and cu <> cv").where(comparable("su", "sv", percent)).groupBy("u", "v", need.alias("need")).agg(F.count("*").alias("n")).where("n >= need").select("u", "v")
-        pairs = materialise(pairs.join(done, ["u", "v"], "left_anti"), f"jaccard-pairs{k}")
-        done = done.unionByName(pairs)
-        edges = edges.unionByName(materialise(verified(pairs, sets, percent), f"jaccard-links{k}"))
-        labels = components(edges)
+    # round two: the pairs of a list whose documents still are in different components
+    marked = materialise(labelled(entries), "jaccard-marked1")
+    mixed = marked.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("list")
+    left = materialise(marked.join(mixed, "list", "left_semi"), "jaccard-open")
+    x, y = left.select("list", F.col("doc").alias("u"), F.col("component").alias("cu"), F.col("size").alias("su")), left.select("list", F.col("doc").alias("v"), F.col("component").alias("cv"), F.col("size").alias("sv"))
+    need = F.least(needed_column("su", percent), needed_column("sv", percent))
+    pairs = x.join(y, "list").where("u > v and cu <> cv").where(comparable("su", "sv", percent)).groupBy("u", "v", need.alias("need")).agg(F.count("*").alias("n")).where("n >= need").select("u", "v").distinct()
+    pairs = materialise(pairs.join(tried, ["u", "v"], "left_anti"), "jaccard-pairs1")
+    edges = edges.unionByName(materialise(verified(pairs, sets, percent), "jaccard-links1"))
+    labels = components(edges)
     found = rows.select("doc_id", "n").join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     return found.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
@@ -262,5 +280,5 @@ def one_of_each_group(docs: DataFrame, words: int = WORDS, percent: int = PERCEN
     """The rows of docs, with all columns, of the smallest id of each component: one row where an id is repeated. Rows without an id stay."""
     kept = jaccard_components(docs, words, percent).where("doc_id = component_id").select("doc_id").distinct()
     first = Window.partitionBy("doc_id").orderBy(*[F.col(f"`{c}`").asc_nulls_last() for c in docs.columns if c != "doc_id"])
-    some = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").withColumn("_nth", F.row_number().over(first)).where("_nth = 1").drop("_nth")
+    some = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").withColumn("__q_nth", F.row_number().over(first)).where("__q_nth = 1").drop("__q_nth")
     return some.select(docs.columns).unionByName(docs.where("doc_id is null"))
