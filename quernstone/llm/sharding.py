@@ -6,7 +6,7 @@ Start. Documents in hash order are cut into `shards` ranges of equal bytes.
 Propagation. In each round a Spark join brings the shard histogram of each link group (group, shard, bytes: one row a
 shard at most, whatever the size of the group) to its documents, which want to go where most of the group's bytes are
 (ties to a shard by the group's hash). Documents that are elsewhere move there, in hash order, until the shard's quota
-of linked bytes is full; the rest stay and may go elsewhere in the next round.
+of linked bytes is full; the rest gather elsewhere in the next rounds, in which full shards take no part.
 Balance. Documents without links follow: in each shard over its quota, documents in hash order beyond the quota go to
 shards under theirs, by matching running byte counts of what is over with what is under. If linked documents alone
 are over a quota, they are cut in the same way, so a group larger than a shard is split and sizes still are even.
@@ -37,7 +37,7 @@ def running(rows: DataFrame, by: list[str], order: list[str], size: str, name: s
     return rows.withColumn("_in", F.sum(size).over(inside) - F.col(size)).join(base, [*by, "bucket"]).withColumn(name, F.col("_base") + F.col("_in")).drop("_base", "_in")
 
 
-def shard(docs: DataFrame, shards: int = 8, rounds: int = 3) -> DataFrame:
+def shard(docs: DataFrame, shards: int = 8, rounds: int = 4) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard) of every row."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text, F.lit(3)).alias("grp"), F.xxhash64("doc_id", text).alias("h"))
@@ -53,16 +53,20 @@ def shard(docs: DataFrame, shards: int = 8, rounds: int = 3) -> DataFrame:
     free, held = state.where("not linked"), state.where("linked")
     quota = total // shards + 1
     for k in range(rounds):
-        counts = held.groupBy("grp", "shard").agg(F.sum("size").alias("bytes"))
+        # at most `shards` rows; a shard that linked documents fill takes no more and keeps what it has
+        loads = {r.shard: r.bytes for r in held.groupBy("shard").agg(F.sum("size").alias("bytes")).collect()}
+        full = [s for s, n in loads.items() if n >= 0.98 * quota] if k else []
+        still, open_rows = (held.where(F.col("shard").isin(full)), held.where(~F.col("shard").isin(full))) if full else (None, held)
+        counts = open_rows.groupBy("grp", "shard").agg(F.sum("size").alias("bytes"))
         # ties go by a hash of the group, so that groups don't all favour one shard
         want = counts.groupBy("grp").agg(F.max_by("shard", F.struct("bytes", F.pmod(F.xxhash64("grp", "shard"), F.lit(1 << 20)))).alias("want"))
-        drawn = held.join(want, "grp").withColumn("moves", (F.col("want") != F.col("shard")).cast("int"))
+        drawn = open_rows.join(want, "grp").withColumn("moves", (F.col("want") != F.col("shard")).cast("int"))
         # those already there come first, then the arrivals, up to the quota of the shard
         placed = drawn.groupBy("want", "moves").agg(F.sum("size").alias("bytes")).where("moves = 0").select("want", F.col("bytes").alias("there"))
         ranked = running(drawn, ["want", "moves"], order, "size", "at").join(F.broadcast(placed), "want", "left")  # at most `shards` rows
         arrives = (F.col("moves") == 1) & (F.coalesce("there", F.lit(0)) + F.col("at") + F.col("size") <= quota)
-        held = ranked.withColumn("shard", F.when(arrives, F.col("want")).otherwise(F.col("shard"))).select(*state.columns)
-        held = materialise(held, f"shard-round{k}")
+        moved = ranked.withColumn("shard", F.when(arrives, F.col("want")).otherwise(F.col("shard"))).select(*state.columns)
+        held = materialise(moved if still is None else moved.unionByName(still), f"shard-round{k}")
     # linked documents first, then free ones: what lies beyond a shard's quota goes to shards that are under theirs
     ranked = materialise(running(held.unionByName(free).withColumn("free", (~F.col("linked")).cast("int")), ["shard", "free"], order, "size", "at"), "shard-ranked")
     loads = {(r.shard, r.free): r.bytes for r in ranked.groupBy("shard", "free").agg(F.sum("size").alias("bytes")).collect()}  # at most 2 * shards rows
