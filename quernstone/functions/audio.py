@@ -187,7 +187,10 @@ def pitch(y: np.ndarray, rate: int, low: float = 65.0, high: float = 500.0) -> n
     a, b = int(rate / high), min(int(rate / low), size - 1)
     # fewer samples overlap at longer lags
     norm = auto[:, a:b] / np.maximum(auto[:, :1], EPS) * (size / (size - np.arange(a, b)))
-    best = norm.argmax(axis=1)
+    # the first peak that is about as good as the best: multiples of a period are as good
+    first = (norm >= 0.9 * norm.max(axis=1, keepdims=True)).argmax(axis=1)[:, None]
+    lag = np.arange(b - a)[None, :]
+    best = np.where((lag >= first) & (lag <= first + (first + a) // 5), norm, -np.inf).argmax(axis=1)
     strength = norm[np.arange(len(norm)), best]
     return np.where((strength > 0.45) & (auto[:, 0] > 1e-6 * size), rate / (best + a), 0.0)
 

@@ -7,6 +7,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from . import text as T
 
@@ -73,7 +74,7 @@ def ordinal_token(match: re.Match) -> str:
         return match[1]
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def spoken_numbers(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: None if t is None else NUMBER.sub(lambda m: number(m[0]), ORDINAL.sub(ordinal_token, t)))
 

@@ -65,4 +65,4 @@ def leaks(rows: DataFrame, key: Column, split: str = "split") -> DataFrame:
     """(held_out, key): keys of validation or test that train has too."""
     keyed = rows.select(key.alias("key"), split)
     train = keyed.where(F.col(split) == "train").select("key").distinct()
-    return keyed.where(F.col(split) != "train").select(F.col(split).alias("held_out"), "key").distinct().join(train, "key", "left_semi")
+    return keyed.where(F.col(split) != "train").select(F.col(split).alias("held_out"), "key").distinct().join(train, "key", "left_semi").select("held_out", "key")
