@@ -590,3 +590,144 @@ def near_dup_pairs(spark, sf):
 @query("dedup_greedy")
 def dedup_greedy(spark, sf):
     return near_duplicates.greedy_kept(table(spark, sf, "documents"), "doc_id", "text", "lang")
+
+
+# --- workflow ----------------------------------------------------------------------------------------------------
+
+
+@query("final_records", f"""WITH {MEASURED} SELECT id, language, round(duration_s, 3) AS duration, coalesce(q.quality = 1, false) AS has_truncation, (id % 40 / 10.0::DOUBLE) > 3.0 AS dnsmos_pass, md5(transcript) AS annotated FROM meas LEFT JOIN labels q ON id = q.doc_id""")
+def final_records(spark, sf):
+    from quernstone.plans import workflow
+
+    s = measured(spark, sf).join(table(spark, sf, "labels").select(F.col("doc_id").alias("id"), (F.col("quality") == 1).alias("has_truncation")), "id", "left")
+    s = s.withColumn("dnsmos_ovrl", F.expr("id % 40 / 10.0D")).withColumn("audio", F.col("id").cast("string")).withColumn("speaker_id", F.col("source_id"))
+    return workflow.records(s).select(F.col("audio").cast("long").alias("id"), "language", "duration", "has_truncation", "dnsmos_pass", F.md5("annotated_text").alias("annotated"))
+
+
+@query("speaker_gender", "WITH m AS (SELECT user_id, median(nullif(value, 0)) AS f FROM events GROUP BY user_id) SELECT event_id, CASE WHEN user_id = 3 THEN 'female' WHEN f > 0 AND f < 165 THEN 'male' ELSE 'female' END AS gender, CASE WHEN event_type = 'view' THEN 'wide' ELSE event_type END AS accent FROM events JOIN m USING (user_id)")
+def speaker_gender(spark, sf):
+    from quernstone.plans import workflow
+
+    e = table(spark, sf, "events").select("event_id", F.col("user_id").cast("string").alias("speaker_id"), F.col("value").alias("f0_mean"), F.col("event_type").alias("language"))
+    return workflow.voices(e, {"3": "female"}, {"view": "wide"}).select("event_id", "gender", "accent")
+
+
+@query("audit_percent", "SELECT lang, question, round(100 * avg(answer), 4) AS yes_percent, count(*) AS n FROM (SELECT lang, unnest(['quality', 'toxic']) AS question, unnest([quality, toxic]) AS answer FROM documents JOIN labels USING (doc_id)) WHERE answer IS NOT NULL GROUP BY ALL")
+def audit_percent(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id", "lang").join(table(spark, sf, "labels"), "doc_id")
+    said = d.select("lang", F.expr("stack(2, 'quality', if(quality = 1, 'Yes', 'no'), 'toxic', if(toxic = 1, 'y', '0')) as (question, answer)"))
+    return said.withColumn("yes", T.yes_no(F.col("answer"))).where("yes is not null").groupBy("lang", "question").agg(F.round(F.avg(F.col("yes").cast("double")) * 100, 4).alias("yes_percent"), F.count("*").alias("n"))
+
+
+@query("first_issues", f"WITH {MEASURED}, x AS (SELECT id, unnest(rejects) AS issue FROM judged) SELECT issue, min(id) AS id FROM x GROUP BY issue ORDER BY id, issue LIMIT 3")
+def first_issues(spark, sf):
+    g = rules.gate(measured(spark, sf)).select("id", F.explode("reject_reasons").alias("r"))
+    return g.groupBy(F.split_part("r", F.lit("("), F.lit(1)).alias("issue")).agg(F.min("id").alias("id")).orderBy("id", "issue").limit(3)
+
+
+@query("tumbling_windows", "WITH d AS (SELECT doc_id, n_chars / 15.0::DOUBLE AS s FROM documents), w AS (SELECT doc_id, i * 10.0::DOUBLE AS w_start, least(i * 10.0::DOUBLE + 10, s) AS w_end FROM d, range(greatest(ceil(s / 10)::BIGINT, 1)) r(i)) SELECT doc_id, count(*) AS n, round(max(w_end - w_start), 6) AS longest FROM w WHERE w_end - w_start >= 0.5 GROUP BY doc_id")
+def tumbling_windows(spark, sf):
+    from quernstone.plans import workflow
+
+    w = workflow.tumbling(table(spark, sf, "documents").select("doc_id", (F.col("n_chars") / 15.0).alias("s")), "s", 10.0, 0.5)
+    return w.groupBy("doc_id").agg(F.count("*").alias("n"), F.round(F.max(F.col("w_end") - F.col("w_start")), 6).alias("longest"))
+
+
+@query("sliding_windows", "SELECT doc_id, floor(n_chars / 15.0::DOUBLE - 2)::BIGINT + 1 AS n FROM documents WHERE n_chars / 15.0::DOUBLE >= 2")
+def sliding_windows(spark, sf):
+    from quernstone.plans import workflow
+
+    return workflow.sliding(table(spark, sf, "documents").select("doc_id", (F.col("n_chars") / 15.0).alias("s")), "s", 2.0, 1.0).groupBy("doc_id").agg(F.count("*").alias("n"))
+
+
+@query("duration_range", "SELECT doc_id, n_chars FROM documents WHERE n_chars BETWEEN 300 AND 3600")
+def duration_range(spark, sf):
+    return table(spark, sf, "documents").where(F.col("n_chars").between(300, 3600)).select("doc_id", "n_chars")
+
+
+@query("coverage", f"WITH {SEG}, {VOCAB} SELECT language, least(1, count(DISTINCT substring(word, 1, 1)) / 39.0::DOUBLE) AS coverage FROM v GROUP BY language")
+def coverage(spark, sf):
+    return vocabulary(spark, sf).groupBy("language").agg(F.least(F.lit(1.0), F.count_distinct(F.substring("word", 1, 1)) / 39.0).alias("coverage"))
+
+
+@query("split_id_leaks", f"WITH {SPLIT} SELECT DISTINCT doc_id FROM split WHERE split = 'test' AND doc_id IN (SELECT doc_id FROM split WHERE split <> 'test') UNION SELECT DISTINCT doc_id FROM split WHERE split = 'validation' AND doc_id IN (SELECT doc_id FROM split WHERE split <> 'validation')")
+def split_id_leaks(spark, sf):
+    d = split_documents(spark, sf).select("doc_id", "split")
+    part = {s: d.where(F.col("split") == s).select("doc_id") for s in ("train", "validation", "test")}
+    return part["train"].intersect(part["test"]).union(part["train"].intersect(part["validation"])).union(part["test"].intersect(part["validation"])).distinct()
+
+
+@query("voice_screen", f"""WITH {CENTROIDS}, p AS (SELECT a.label AS a, b.label AS b, round(sum(a.x * b.x), 6) AS cosine FROM c a JOIN c b ON a.d = b.d AND a.label <> b.label GROUP BY ALL), n AS (SELECT label, count(*) AS clips FROM embeddings GROUP BY label)
+SELECT a AS label, clips, arg_min(b, (-cosine, b)) AS nearest, max(cosine) AS max_cosine, max(cosine) < 0.5 AS distinct_voice FROM p JOIN n ON label = a GROUP BY ALL""")
+def voice_screen(spark, sf):
+    c = metrics.centroids(table(spark, sf, "embeddings"), "label", "embedding")
+    p = metrics.centroid_pairs(c, "label")
+    both = p.union(p.select(F.col("b").alias("a"), F.col("a").alias("b"), "cosine"))
+    near = both.groupBy(F.col("a").alias("label")).agg(F.min_by("b", F.struct(-F.col("cosine"), "b")).alias("nearest"), F.max("cosine").alias("max_cosine"))
+    return c.select("label", F.col("n").alias("clips")).join(near, "label").withColumn("distinct_voice", F.col("max_cosine") < 0.5)
+
+
+@query("separation", f"""WITH {CENTROIDS}, p AS (SELECT round(sum(a.x * b.x), 6) AS cosine FROM c a JOIN c b ON a.d = b.d AND a.label < b.label GROUP BY a.label, b.label),
+q AS (SELECT label, d, sum(x) AS s, sum(x * x) AS q, count(*) AS n FROM x GROUP BY ALL), w AS (SELECT label, round(coalesce((sum(s * s) - sum(q)) / nullif(max(n) * (max(n) - 1), 0), 1), 6) AS within FROM q GROUP BY label)
+SELECT round(b, 5) AS between_cosine, round(w, 5) AS within_cosine, f AS flagged FROM (SELECT avg(cosine) AS b FROM p), (SELECT avg(within) AS w FROM w), (SELECT count(*) AS f FROM w, (SELECT avg(cosine) AS b FROM p) WHERE within < b + 0.1)""")
+def separation(spark, sf):
+    e = table(spark, sf, "embeddings")
+    between = metrics.centroid_pairs(metrics.centroids(e, "label", "embedding"), "label").agg(F.avg("cosine").alias("b"))  # one row
+    w = metrics.cohesion(e, "label", "embedding")
+    return w.crossJoin(F.broadcast(between)).agg(F.round(F.first("b"), 5).alias("between_cosine"), F.round(F.avg("within"), 5).alias("within_cosine"), F.count_if(F.col("within") < F.col("b") + 0.1).alias("flagged"))
+
+
+@query("session_stream", """WITH m AS (SELECT user_id, ts, value, coalesce((ts >= lag(ts) OVER w + INTERVAL 2 HOUR)::INT, 1) AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+r AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS run FROM m) SELECT user_id, epoch_us(min(ts)) AS start_us, count(*) AS n, round(sum(value), 2) AS total FROM r GROUP BY user_id, run""")
+def session_stream(spark, sf):
+    """The batch form of the streaming sessions; the test runs both."""
+    from quernstone.streaming import sessions
+
+    return sessions.sessions(table(spark, sf, "events")).select("user_id", F.unix_micros("session_start").alias("start_us"), "n", F.round("total", 2).alias("total"))
+
+
+@query("event_rates", "SELECT event_type, epoch_us(date_trunc('hour', ts)) AS start_us, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY ALL")
+def event_rates(spark, sf):
+    from quernstone.streaming import sessions
+
+    return sessions.rates(table(spark, sf, "events")).select("event_type", F.unix_micros("start").alias("start_us"), "n", F.round("total", 2).alias("total"))
+
+
+@query("wer_summary")
+def wer_summary(spark, sf):
+    """Mean and median word error rate over the benchmark items that have one."""
+    return wer(spark, sf).where("wer is not null").agg(F.count("*").alias("n"), F.round(F.avg("wer"), 6).alias("mean"), F.round(F.median("wer"), 6).alias("median"))
+
+
+@query("corrections")
+def corrections(spark, sf):
+    """Pairs of neighbouring conversation turns as two transcripts of one clip; the three shortest that differ a little."""
+    from quernstone.plans import workflow
+
+    c = table(spark, sf, "conversations")
+    pairs = c.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("transcript_batch")).join(c.select("conv_id", "turn", F.col("text").alias("transcript")), ["conv_id", "turn"]).withColumn("language", F.lit("en"))
+    return workflow.corrections(pairs).orderBy(F.length("transcript"), "conv_id", "turn").limit(3)
+
+
+@query("workflow")
+def workflow_clips(spark, sf):
+    """Conversations as diarised chunks, cut into clips with their texts."""
+    from pyspark.sql import Window
+
+    from quernstone.plans import workflow
+
+    t = table(spark, sf, "conversations").withColumn("d", F.length("text") / 20.0)
+    end = F.sum("d").over(Window.partitionBy("conv_id").orderBy("turn", "role", "text").rowsBetween(Window.unboundedPreceding, 0))
+    chunks = t.withColumn("end_s", end).select(F.col("conv_id").alias("source_id"), F.col("role").alias("speaker_id"), (F.col("end_s") - F.col("d")).alias("start_s"), "end_s", "text")
+    return workflow.clips(chunks)
+
+
+@query("published_split")
+def published_split(spark, sf):
+    """Documents through qualify, selection, projection and split: the workflow's last steps in one plan."""
+    from quernstone.plans import workflow
+
+    s = measured(spark, sf).withColumn("speaker_id", F.col("source_id")).withColumn("duration_s", F.least("duration_s", F.lit(20.0)) + 3)
+    q = workflow.qualify(s, ["snr_db"])
+    ready = q.withColumns({"review_decision": F.lit(None).cast("string"), "emotion": F.element_at(F.array(F.lit("calm"), F.lit("sad"), F.lit("neutral")), (F.col("id") % 3 + 1).cast("int")), "topic_category": F.lit(None).cast("string"), "dnsmos_ovrl": F.expr("id % 40 / 10.0D"), "audio": F.col("id").cast("string")})
+    return workflow.publishable(workflow.records(workflow.selected(ready, 20.0))).select("audio", "config", "split", "emotion", "duration")
