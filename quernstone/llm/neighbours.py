@@ -33,7 +33,7 @@ from .common import bound_batches, materialise, partitions
 DEGREE = 24
 BUCKET = 128
 TREES = 6
-ROUNDS = 2
+ROUNDS = 5
 #: Candidates that a query keeps, steps of its walk, nodes that it opens in a step, entries besides its own node.
 BEAM = 256
 STEPS = 9
