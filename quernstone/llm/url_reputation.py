@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_LOWER, ASCII_UPPER
+from .common import ASCII_LOWER, ASCII_UPPER, materialise
 
 #: (verdict, rule): host and path, cut at the first slash.
 RULES = (
@@ -75,7 +75,7 @@ def shrunk(children: DataFrame, parents: DataFrame, on: str | None) -> DataFrame
 
 def reputation(outcomes: DataFrame, z: float = 1.645) -> DataFrame:
     """(host, n, k, mean, bound) of a table of (host, bad) with a row for each page; bad: 1, 0 or null (no label)."""
-    n = with_domains(outcomes.groupBy("host").agg(F.count("bad").cast("double").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).cast("double").alias("k"))).select("host", "domain", "suffix", "n", "k")
+    n = materialise(with_domains(outcomes.groupBy("host").agg(F.count("bad").cast("double").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).cast("double").alias("k"))).select("host", "domain", "suffix", "n", "k"), "url-hosts")
     domains = n.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     root = suffixes.agg(((F.coalesce(F.sum("k"), F.lit(0.0)) + 0.5) / (F.coalesce(F.sum("n"), F.lit(0.0)) + 1)).alias("mean"))
