@@ -113,3 +113,15 @@ def components(edges: DataFrame, name: str = "edges") -> DataFrame:
             break
         before = now
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(e.select("v", "v").distinct())
+
+
+def merged(labels: DataFrame, links: DataFrame, name: str) -> DataFrame:
+    """labels (node, component) after links (u, v) joined more components. A node without a row is its own component.
+
+    Links are taken to components first, so the rounds of components() see what is new and not what is known.
+    """
+    a, b = (labels.select(F.col("node").alias(x), F.col("component").alias(f"c{x}")) for x in "uv")
+    between = links.join(a, "u", "left").join(b, "v", "left").select(F.coalesce("cu", "u").alias("u"), F.coalesce("cv", "v").alias("v"))
+    joined = components(between, f"{name}-edges")
+    moved = labels.join(joined.select(F.col("node").alias("component"), F.col("component").alias("_to")), "component", "left").select("node", F.coalesce("_to", "component").alias("component"))
+    return materialise(moved.unionByName(joined.join(labels, "node", "left_anti")), name)

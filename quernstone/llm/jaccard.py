@@ -11,10 +11,11 @@ k or more. k grows with a document's size and its estimated candidate cost (the
 prefix), and a pair needs min(k, k') shared prefix shingles before it is verified.
 Candidates. Prefix shingles go to the reducers as packed arrays by hash range; those met in one document only end
 there, which is nearly all; so do documents with too few shared entries for any partner. The lists of the others are
-worked in two rounds that never make all pairs of a group of copies: first every document meets the hub (smallest id)
-that it shares most lists with, the pair is verified, and components are formed; then the pairs of a list whose
-documents still are in different components are made, counted and verified. Pairs inside one component need no look,
-as the component is the result. Copies of one set are grouped by a 128-bit digest beforehand.
+worked in rounds that never make all pairs of a group of near copies: in each, documents meet a few hubs of their
+lists (other ones in each round), the pairs that share enough are verified, components are formed, and lists whose
+documents are in one component are done with. When few pairs are left in the open lists, those between different
+components are made, counted and verified, so no link is lost. Pairs inside one component need no look, as the
+component is the result. Copies of one set are grouped by a 128-bit digest beforehand.
 Verification. Sets of candidate documents are built once, joined to the pairs, and intersected exactly.
 
 Cases. Null, empty or blank text: no shingles, linked with nothing. Fewer than five words: the whole sequence is one
@@ -24,6 +25,7 @@ keeps its n_shingles and they share a component. Other columns are not read.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,12 +33,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bound_batches, components, doc_chunks, joined, materialise, mix64, texts_of, word_hashes
+from .common import bound_batches, doc_chunks, joined, materialise, merged, mix64, partitions, texts_of, word_hashes
 
 WORDS = 5
 PERCENT = 75
 #: Heavy shingles that the order knows: at most so many, and only those met so often. 1 MB is broadcast.
 HEAVY, HEAVY_FROM = 1 << 17, 8
+#: Rounds in which documents meet hubs only, hubs of a list and tries of a document in a round; below so many pairs in open lists, all are made.
+HUB_ROUNDS, HUBS, ALL_PAIRS = 10, 3, 200_000
 
 
 def shingle_sets(texts: list[bytes], words: int = WORDS) -> list[np.ndarray]:
@@ -104,27 +108,23 @@ def ordered(s: np.ndarray, heavy: np.ndarray, cost: np.ndarray) -> tuple[np.ndar
     return np.concatenate((s[~known], s[tail])), np.concatenate((np.zeros(len(s) - len(tail), np.int64), weight))
 
 
-def needed(n: int, bonus: int, percent: int = PERCENT) -> int:
-    """k of a set of n shingles: one and one more for every 32, as each costs one prefix entry and spares pairs; `bonus` more for costly prefixes."""
-    return min(-(-percent * n // 100), 1 + n // 32 + bonus)
-
-
 def prefix(s: np.ndarray, heavy: np.ndarray, cost: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, int]:
-    """(the prefix, bonus): the bonus grows with each tenfold of the estimated candidates."""
+    """(the prefix, k). k is one and one more for every 32 shingles, as each costs one entry and spares pairs, and grows with each tenfold of the
+    estimated candidates; but where the prefix has no heavy shingle, it isn't lengthened into them."""
     n = len(s)
     o = -(-percent * n // 100)
     row, price = ordered(s, heavy, cost)
     candidates = int(price[: n - o + 1].sum())
-    bonus = (candidates >= 100) + (candidates >= 1000) + (candidates >= 10000)
-    return row[: n - o + needed(n, bonus, percent)], bonus
-
-
-def needed_column(size: str, percent: int) -> F.Column:
-    return F.expr(f"least(({percent} * shiftright({size}, 3) + 99) div 100, 1 + shiftright({size}, 3) div 32 + ({size} & 7))")
+    k = 1 + n // 32 + (candidates >= 100) + (candidates >= 1000) + (candidates >= 10000)
+    light = int((price == 0).sum())
+    if light > n - o:
+        k = min(k, light - (n - o))
+    k = min(k, o)
+    return row[: n - o + k], k
 
 
 def postings(docs: DataFrame, heavy: np.ndarray, cost: np.ndarray, parts: int, words: int, percent: int) -> DataFrame:
-    """(part, shingles, docs, sizes): packed prefix entries of a slice, by hash range. The size holds n * 8 + bonus."""
+    """(part, shingles, docs, sizes): packed prefix entries of a slice, by hash range. The size holds n * 2**20 + k."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in doc_chunks(batches, "text"):
@@ -136,10 +136,10 @@ def postings(docs: DataFrame, heavy: np.ndarray, cost: np.ndarray, parts: int, w
                 key = (len(s), *digest(s))
                 if seen.setdefault(key, doc_id) != doc_id:
                     continue  # a copy within the slice: the digests tie it to the first
-                p, bonus = prefix(s, heavy, cost, percent)
+                p, k = prefix(s, heavy, cost, percent)
                 tokens.append(p)
                 owners.append(np.full(len(p), doc_id, np.int64))
-                sizes.append(np.full(len(p), len(s) * 8 + bonus, np.int64))
+                sizes.append(np.full(len(p), (len(s) << 20) + k, np.int64))
             if not tokens:
                 continue
             t, o, z = np.concatenate(tokens), np.concatenate(owners), np.concatenate(sizes)
@@ -147,7 +147,7 @@ def postings(docs: DataFrame, heavy: np.ndarray, cost: np.ndarray, parts: int, w
             order = np.argsort(part, kind="stable")
             t, o, z = t[order], o[order], z[order]
             cuts = np.searchsorted(part[order], np.arange(parts + 1))
-            rows = [(p, t[a:b].tobytes(), o[a:b].tobytes(), z[a:b].astype(np.int32).tobytes()) for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
+            rows = [(p, t[a:b].tobytes(), o[a:b].tobytes(), z[a:b].tobytes()) for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)], ["part", "shingles", "docs", "sizes"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "part int, shingles binary, docs binary, sizes binary")
@@ -159,12 +159,12 @@ def shared_lists(entries: DataFrame, percent: int) -> DataFrame:
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         t = np.frombuffer(b"".join(table.column("shingles").to_pylist()), np.uint64)
         o = np.frombuffer(b"".join(table.column("docs").to_pylist()), np.int64)
-        z = np.frombuffer(b"".join(table.column("sizes").to_pylist()), np.int32)
+        z = np.frombuffer(b"".join(table.column("sizes").to_pylist()), np.int64)
         order = np.lexsort((z, t))
         t, o, z = t[order], o[order], z[order]
-        n = z >> 3
+        n = z >> 20
         # sorted by size within a list, an entry has a comparable partner if a neighbour is comparable
-        near = (t[1:] == t[:-1]) & (100 * n[:-1].astype(np.int64) >= percent * n[1:].astype(np.int64))
+        near = (t[1:] == t[:-1]) & (100 * n[:-1] >= percent * n[1:])
         keep = np.zeros(len(t), bool)
         keep[1:] |= near
         keep[:-1] |= near
@@ -184,9 +184,9 @@ def entries_of(lists: DataFrame) -> DataFrame:
                 number = (np.int64(part) << np.int64(40)) + np.frombuffer(lists, np.int64)
                 for a in range(0, len(number), 1 << 16):
                     b = a + (1 << 16)
-                    yield pa.RecordBatch.from_arrays([pa.array(number[a:b]), pa.array(np.frombuffer(docs, np.int64)[a:b]), pa.array(np.frombuffer(sizes, np.int32)[a:b])], ["list", "doc", "size"])
+                    yield pa.RecordBatch.from_arrays([pa.array(number[a:b]), pa.array(np.frombuffer(docs, np.int64)[a:b]), pa.array(np.frombuffer(sizes, np.int64)[a:b])], ["list", "doc", "size"])
 
-    return lists.mapInArrow(run, "list long, doc long, size int")
+    return lists.mapInArrow(run, "list long, doc long, size long")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -209,8 +209,13 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return wide.mapInArrow(run, "u long, v long")
 
 
+def asked(size: str) -> F.Column:
+    """k of a packed size."""
+    return F.col(size).bitwiseAND((1 << 20) - 1)
+
+
 def comparable(x: str, y: str, percent: int) -> F.Column:
-    a, b = F.shiftright(F.col(x), 3).cast("long"), F.shiftright(F.col(y), 3).cast("long")
+    a, b = F.shiftright(F.col(x), 20), F.shiftright(F.col(y), 20)
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
@@ -229,28 +234,21 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     parts = max(16, int(total) // 1_500_000)
     lists = materialise(shared_lists(postings(docs, heavy, cost, parts, words, percent), percent), "jaccard-lists")
     entries = materialise(entries_of(lists), "jaccard-entries")
-    # a partner has 0.75 n shingles or more, so a document needs that many shared entries to have one
-    least = F.expr(f"({percent} * shiftright(size, 3) + 99) div 100")
-    floor = F.least((least * percent + 99) / 100, 1 + F.floor(least / 32))
-    able = entries.groupBy("doc", "size").agg(F.count("*").alias("c")).where(F.col("c") >= F.floor(floor)).select("doc")
+    # a document needs as many shared entries as its own k or the least k that its lists' documents ask for
+    lowest = entries.groupBy("list").agg(F.min(asked("size")).alias("k"))
+    able = entries.join(lowest, "list").groupBy("doc", "size").agg(F.count("*").alias("c"), F.min("k").alias("k")).where(F.col("c") >= F.least(asked("size"), F.col("k"))).select("doc")
     entries = materialise(entries.join(able.distinct(), "doc", "left_semi"), "jaccard-able")
 
     # copies of one set, and rows of one id, hang together before any pair is made
     same = rows.where("doc_id is not null and n > 0")
     copies = same.join(same.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("v"), F.count("*").alias("c")).where("c > 1"), ["d1", "d2", "n"]).where("doc_id <> v").select(F.col("doc_id").alias("u"), "v")
-    edges = materialise(copies.distinct(), "jaccard-copies")
-    labels = edges.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "node")
+    # an id with several sets hangs on each set's first id: components() joins those
+    labels = merged(spark.createDataFrame([], "node long, component long"), materialise(copies.distinct(), "jaccard-copies"), "jaccard-labels")
 
     def labelled(of: DataFrame) -> DataFrame:
         return of.join(labels.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
 
-    # round one: each document meets the hub (smallest id) that most of its lists have, if they share enough
-    marked = materialise(labelled(entries), "jaccard-marked0")
-    hubs = marked.groupBy("list").agg(F.min_by(F.struct("doc", "component", "size"), "doc").alias("hub"))
-    met = marked.join(hubs, "list").where("component <> hub.component").groupBy("doc", "size", F.col("hub.doc").alias("v"), F.col("hub.size").alias("size2")).agg(F.count("*").alias("n"))
-    met = met.where(comparable("size", "size2", percent)).where(F.col("n") >= F.least(needed_column("size", percent), needed_column("size2", percent)))
-    tried = materialise(met.groupBy("doc").agg(F.min_by("v", F.struct(-F.col("n"), "v")).alias("v")).select(F.greatest("doc", "v").alias("u"), F.least("doc", "v").alias("v")).distinct(), "jaccard-pairs0")
-    # sets of all documents that can be in a pair: those with enough entries
+    # sets of all documents that can be in a pair, bucketed by document: verifying moves pairs, not sets
     wanted = entries.select(F.col("doc").alias("doc_id")).distinct()
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,20 +256,40 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
             sets = shingle_sets(texts_of(batch, "text"), words)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["doc", "shingles"])
 
-    sets = materialise(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi").mapInArrow(build, "doc long, shingles binary"), "jaccard-sets")
-    edges = edges.unionByName(materialise(verified(tried, sets, percent), "jaccard-links0"))
-    labels = components(edges)
-
-    # round two: the pairs of a list whose documents still are in different components
-    marked = materialise(labelled(entries), "jaccard-marked1")
-    mixed = marked.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("list")
-    left = materialise(marked.join(mixed, "list", "left_semi"), "jaccard-open")
+    table = f"jaccard_sets_{uuid.uuid4().hex}"
+    docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi").mapInArrow(build, "doc long, shingles binary").write.bucketBy(partitions(spark), "doc").saveAsTable(table)
+    sets = spark.table(table)
+
+    # hub rounds: documents meet a few hubs of their lists, not each other; lists of one component are done with
+    before, active, tried = None, entries, spark.createDataFrame([], "u long, v long")
+    for k in range(HUB_ROUNDS):
+        marked = materialise(labelled(active.select("list", "doc", "size")), f"jaccard-marked{k}")
+        mixed = marked.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("c")).where("low <> high")
+        left = materialise(marked.join(mixed.select("list", "c"), "list"), f"jaccard-open{k}")
+        # what making all pairs of the open lists would cost; hubs that join few more documents are not worth a round
+        cost_now = left.agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+        if cost_now <= ALL_PAIRS or (before is not None and cost_now > 0.8 * before):
+            break
+        before = cost_now if k else None
+        hub = F.row_number().over(Window.partitionBy("list").orderBy(F.xxhash64("doc", F.lit(k)), "doc"))
+        hubs = left.withColumn("_n", hub).where(F.col("_n") <= (1 if k == 0 else HUBS)).select("list", F.struct("doc", "component", "size").alias("hub"))
+        met = left.join(hubs, "list").where("component <> hub.component").groupBy("doc", "size", F.col("hub.doc").alias("other"), F.col("hub.size").alias("size2")).agg(F.count("*").alias("n"))
+        met = met.where(comparable("size", "size2", percent)).where(F.col("n") >= F.least(asked("size"), asked("size2")))
+        nth = F.row_number().over(Window.partitionBy("doc").orderBy(F.col("n").desc(), "other"))
+        pairs = met.withColumn("_n", nth).where(F.col("_n") <= HUBS).select(F.greatest("doc", "other").alias("u"), F.least("doc", "other").alias("v")).distinct()
+        pairs = materialise(pairs.join(tried, ["u", "v"], "left_anti"), f"jaccard-pairs{k}")
+        tried = tried.unionByName(pairs)
+        labels = merged(labels, materialise(verified(pairs, sets, percent), f"jaccard-links{k}"), f"jaccard-labels{k}")
+        active = left
+    else:
+        left = labelled(active.select("list", "doc", "size"))
+
+    # last, all pairs of a list whose documents still are in different components
     x, y = left.select("list", F.col("doc").alias("u"), F.col("component").alias("cu"), F.col("size").alias("su")), left.select("list", F.col("doc").alias("v"), F.col("component").alias("cv"), F.col("size").alias("sv"))
-    need = F.least(needed_column("su", percent), needed_column("sv", percent))
+    need = F.least(asked("su"), asked("sv"))
     pairs = x.join(y, "list").where("u > v and cu <> cv").where(comparable("su", "sv", percent)).groupBy("u", "v", need.alias("need")).agg(F.count("*").alias("n")).where("n >= need").select("u", "v").distinct()
-    pairs = materialise(pairs.join(tried, ["u", "v"], "left_anti"), "jaccard-pairs1")
-    edges = edges.unionByName(materialise(verified(pairs, sets, percent), "jaccard-links1"))
-    labels = components(edges)
+    pairs = materialise(pairs.join(tried, ["u", "v"], "left_anti"), "jaccard-pairs")
+    labels = merged(labels, materialise(verified(pairs, sets, percent), "jaccard-links"), "jaccard-labels")
     found = rows.select("doc_id", "n").join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     return found.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
