@@ -406,6 +406,29 @@ def test_lines(spark, none):
     assert sum(r.n_removed for r in counts) == sum(len(gone.get((i, t), ())) for i, t, _ in data)
 
 
+def changed(rng, line, n):
+    for _ in range(n):
+        at = rng.randrange(len(line))
+        line = line[:at] + rng.choice(["", "x", line[at] + "y"]) + line[at + 1 :]
+    return line
+
+
+def test_similar_lines_are_found(spark):
+    """Against brute force on edit similarity alone."""
+    rng = random.Random(11)
+    names = []
+    for k in range(36):
+        base = prose(rng, 6 + k)
+        names += [base, changed(rng, base, 1 + k % 3), changed(rng, base, len(base) // 20)]
+    close = lambda a, b: distance(a, b) <= int(max(len(a), len(b)) * (1 - lines.SIMILAR) + 1e-9)
+    alike = [{j for j in range(k) if abs(len(names[j]) - len(x)) * 10 <= max(len(names[j]), len(x)) and close(names[j], x)} for k, x in enumerate(names)]
+    later = {k for k, before in enumerate(alike) if before}
+    got = {r.doc_id: r.text for r in lines.without_repeats(frame(spark, [(k, x, "s") for k, x in enumerate(names)])).collect()}
+    gone = {k for k, x in enumerate(names) if got[k] != x}
+    assert len(later) >= 70 and gone <= later
+    assert len(gone) >= 0.97 * len(later)
+
+
 # --- sharding ------------------------------------------------------------------------------------------------------
 
 
