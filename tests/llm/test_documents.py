@@ -429,6 +429,13 @@ def test_similar_lines_are_found(spark):
     assert len(gone) >= 0.97 * len(later)
 
 
+def test_short_lines_and_lines_without_blanks_are_deduplicated(spark):
+    script = "\u6f22\u5b57\u304b\u306a\u4ea4\u3058\u308a\u306e\u4e00\u884c\u3067\u3059"
+    data = [(k, f"Les.\nonly {'abcdef'[k] * 5} here\n{script}\n", "s") for k in range(6)]
+    got = {r.doc_id: r.text for r in lines.without_repeats(frame(spark, data)).collect()}
+    assert got == {k: t if k == 0 else f"only {'abcdef'[k] * 5} here\n" for k, t, _ in data}
+
+
 # --- sharding ------------------------------------------------------------------------------------------------------
 
 
