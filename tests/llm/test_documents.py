@@ -436,6 +436,12 @@ def test_short_lines_and_lines_without_blanks_are_deduplicated(spark):
     assert got == {k: t if k == 0 else f"only {'abcdef'[k] * 5} here\n" for k, t, _ in data}
 
 
+def test_lines_of_other_digits_stay(spark):
+    rows = ["2019 1423 5521 9034", "2018 7765 1290 4471", "row 17 of 3 May 2001: 5,120 paid", "row 94 of 8 May 1987: 3,466 paid", "2019 1423 5521 9035"]
+    got = {r.doc_id: r.text for r in lines.without_repeats(frame(spark, [(k, x, "s") for k, x in enumerate(rows)])).collect()}
+    assert got == dict(enumerate(rows)) | {4: ""}
+
+
 # --- sharding ------------------------------------------------------------------------------------------------------
 
 
