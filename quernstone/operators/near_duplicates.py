@@ -30,6 +30,18 @@ def similar_pairs(rows: DataFrame, key: str, text: str, by: str, percent: int =
     return both.where(F.size(F.array_intersect("ta", "tb")) * 100 >= F.size(F.array_union("ta", "tb")) * percent).select("a", "b")
 
 
+def members(rows: DataFrame, key: str, text: str, by: str) -> DataFrame:
+    """(key, representative): every row whose token set isn't empty, with the first row of its `by` that has the same set.
+
+    similar_pairs() links representatives; two rows are similar if they have one representative or theirs are a pair.
+    """
+    sets = rows.select(key, by, T.token_set(F.col(text)).alias("tokens")).where(F.size("tokens") > 0)
+    sets = sets.select(key, by, F.sha2(F.array_join(F.array_sort("tokens"), "\n"), 256).alias("h"))
+    first = sets.groupBy(by, "h").agg(F.min(key).alias("representative"))
+    s, f = sets.alias("s"), first.alias("f")
+    return s.join(f, F.expr(f"s.h = f.h and s.`{by}` <=> f.`{by}`")).select(F.col(f"s.`{key}`"), "representative")
+
+
 def greedy_kept(rows: DataFrame, key: str, text: str, by: str, percent: int = 90, rounds: int = 1000) -> DataFrame:
     """(key, dropped): in the order of key, a row goes if a row before it that stays is similar; rows with empty sets stay.
 

@@ -583,10 +583,19 @@ TOKENS = r"t AS (SELECT min(doc_id) AS doc_id, lang, w FROM (SELECT doc_id, lang
 
 @query("near_dup_pairs", f"WITH {TOKENS} SELECT a.doc_id AS a, b.doc_id AS b FROM t a JOIN t b ON a.lang = b.lang AND a.doc_id < b.doc_id AND least(len(a.w), len(b.w)) * 10 >= 9 * greatest(len(a.w), len(b.w)) WHERE len(list_intersect(a.w, b.w)) * 10 >= 9 * len(list_distinct(list_concat(a.w, b.w)))")
 def near_dup_pairs(spark, sf):
-    """Pairs between the first documents of each token set."""
+    """Pairs between the first documents of each token set; near_dup_members has the documents that each stands for."""
     return near_duplicates.similar_pairs(table(spark, sf, "documents"), "doc_id", "text", "lang")
 
 
+MEMBERS = TOKENS.replace("min(doc_id) AS doc_id", "unnest(list(doc_id)) AS doc_id, min(doc_id) AS representative")
+
+
+@query("near_dup_members", f"WITH {MEMBERS} SELECT doc_id, representative FROM t")
+def near_dup_members(spark, sf):
+    """Each document with the first document of its token set: the membership that near_dup_pairs is read with."""
+    return near_duplicates.members(table(spark, sf, "documents"), "doc_id", "text", "lang")
+
+
 @query("dedup_greedy")
 def dedup_greedy(spark, sf):
     return near_duplicates.greedy_kept(table(spark, sf, "documents"), "doc_id", "text", "lang")

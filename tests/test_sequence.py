@@ -128,3 +128,16 @@ def test_greedy_keeps_the_end_of_a_chain(spark):
         rows.append((10 + k, " ".join(w), rng.choice(["en", "de"])))
     got = {r.k: r.dropped for r in near_duplicates.greedy_kept(spark.createDataFrame(rows, "k int, text string, lang string"), "k", "text", "lang").collect()}
     assert got == plain_greedy(rows)
+
+
+def test_copies_keep_their_links(spark):
+    base = [f"w{k}" for k in range(20)]
+    near = [*base[1:], "x"]
+    rows = [(0, " ".join(base), "en"), (1, " ".join(reversed(base)), "en"), (2, " ".join(near), "en"), (3, " ".join(near), "en"), (4, "only copies", "en"), (5, "copies only", "en"), (6, " ", "en"), (7, " ".join(base), "de"), (8, "no language", None), (9, "no language", None)]
+    d = spark.createDataFrame(rows, "k int, text string, lang string")
+    member = {r.k: r.representative for r in near_duplicates.members(d, "k", "text", "lang").collect()}
+    assert member == {0: 0, 1: 0, 2: 2, 3: 2, 4: 4, 5: 4, 7: 7, 8: 8, 9: 8}
+    pairs = {(r.a, r.b) for r in near_duplicates.similar_pairs(d, "k", "text", "lang").collect()}
+    linked = {(a, b) for a in member for b in member if a < b and (member[a] == member[b] or (member[a], member[b]) in pairs or (member[b], member[a]) in pairs)}
+    sets = {k: set(t.split()) for k, t, _ in rows}
+    assert linked == {(a, b) for a in member for b in member if a < b and rows[a][2] == rows[b][2] and 10 * len(sets[a] & sets[b]) >= 9 * len(sets[a] | sets[b])}
