@@ -164,13 +164,13 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_byte
     for c in (0, 1):
         part = known.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         chosen = part if chosen is None else chosen.union(part)
-    rows = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).orderBy(F.xxhash64("doc_id"), "doc_id")
+    rows = docs.select("doc_id", "text").where(F.octet_length("text") <= max_bytes).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).orderBy(F.xxhash64("doc_id"), "doc_id")
     texts, toxic, size = [], [], 0
     for r in rows.toLocalIterator():
         text = r.text.encode()
+        if size + len(text) > max_bytes:
+            continue
         size += len(text)
-        if size > max_bytes:
-            break
         texts.append(text)
         toxic.append(r.toxic)
     if len(set(toxic)) < 2 or not any(t.split() for t in texts):

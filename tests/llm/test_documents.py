@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from quernstone.llm import fertility, jaccard, lines, mixing, pieces, sharding, substrings, toxicity
 
@@ -153,6 +154,14 @@ def test_toxicity(spark, docs, none):
     assert kept.columns == d.columns and {r.doc_id for r in kept.collect()} == {i for i, r in got.items() if not r.predicted}
 
 
+def test_a_text_over_the_budget_does_not_end_the_sample(spark):
+    d, labels, _ = labelled(spark, 200)
+    first = labels.where(~toxicity.held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id"), "doc_id").first().doc_id
+    long = d.withColumn("text", F.when(F.col("doc_id") == first, F.repeat("text", 1000)).otherwise(F.col("text")))
+    model = toxicity.fit(long, labels, max_bytes=40_000)
+    assert len(set(toxicity.text_scores(model, [b"karan lodil mipes sumor tetuk", b"karan lodil mipes zorrbag tetuk pluknitt"]))) == 2
+
+
 # --- n-gram Jaccard join -------------------------------------------------------------------------------------------
 
 
