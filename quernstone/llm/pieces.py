@@ -253,8 +253,9 @@ def encode(docs: DataFrame, vocabulary: str = VOCABULARY, remember: int = 400_00
     return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
 
 
-def decode(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """(doc_id, text) of (doc_id, ids); null ids give the empty text."""
+def decode(encoded: DataFrame, vocabulary: str = VOCABULARY, keep_ids: bool = False) -> DataFrame:
+    """(doc_id, text) of (doc_id, ids); null ids give the empty text. With keep_ids, the columns of encode() and text."""
+    kept = ["doc_id", "n_tokens", "ids"] if keep_ids else ["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = Vocabulary(vocabulary)
@@ -262,6 +263,6 @@ def decode(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
             for start in range(0, batch.num_rows, 200):
                 part = batch.slice(start, 200)
                 texts = [v.decode(ids or []) for ids in part.column("ids").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.array(texts, pa.string())], ["doc_id", "text"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), *(part.column(c) for c in kept[1:]), pa.array(texts, pa.string())], [*kept, "text"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
+    return encoded.select(*(kept if keep_ids else ["doc_id", "ids"])).mapInArrow(run, f"{SCHEMA if keep_ids else 'doc_id long'}, text string")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import fertility, jaccard, lines, mixing, neighbours, pieces, sharding, substrings, toxicity, url_reputation
 from .common import documents
@@ -29,7 +30,9 @@ def op5_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.encode(documents(spark, sf_dir))
+    """Ids of each document, and the SHA-256 of what they decode to."""
+    decoded = pieces.decode(pieces.encode(documents(spark, sf_dir)), keep_ids=True)
+    return decoded.select("doc_id", "n_tokens", "ids", F.sha2("text", 256).alias("decoded_sha256"))
 
 
 def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -310,6 +310,15 @@ def test_pieces(docs, none):
     assert pieces.encode(none).collect() == []
 
 
+def test_sentencepiece_query_decodes_its_ids(docs, tmp_path):
+    from quernstone.llm import queries
+
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op6_sentencepiece(docs.sparkSession, str(tmp_path)).collect()
+    v = pieces.Vocabulary()
+    assert Counter((r.doc_id, r.n_tokens, tuple(r.ids), r.decoded_sha256) for r in got) == Counter((i, len(e), tuple(e), hashlib.sha256((t or "").encode()).hexdigest()) for i, t, _ in rows() for e in [v.encode(t or "")])
+
+
 # --- quality rules -------------------------------------------------------------------------------------------------
 
 
