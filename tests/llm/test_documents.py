@@ -1,6 +1,7 @@
 """The operators on documents, against brute force, on small tables with every awkward row."""
 
 import hashlib
+import math
 import random
 import zlib
 from collections import Counter
@@ -143,7 +144,7 @@ def test_toxicity(spark, docs, none):
     held = [i for i, r in got.items() if r.held_out]
     assert sum(got[i].predicted == truth[i] for i in held) / len(held) > 0.95
     model = toxicity.fit(d, labels)
-    clean, misspelt = toxicity.text_scores(model, [b"karan lodil mipes sumor tetuk", b"karan lodil mipes zorrbag tetuk pluknitt"])
+    clean, misspelt = model([b"karan lodil mipes sumor tetuk", b"karan lodil mipes zorrbag tetuk pluknitt"])
     assert misspelt > clean
     other = toxicity.score(docs, model).collect()
     assert len(other) == len(rows()) and all(0 <= r.score <= 1 for r in other)
@@ -159,7 +160,48 @@ def test_a_text_over_the_budget_does_not_end_the_sample(spark):
     first = labels.where(~toxicity.held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id"), "doc_id").first().doc_id
     long = d.withColumn("text", F.when(F.col("doc_id") == first, F.repeat("text", 1000)).otherwise(F.col("text")))
     model = toxicity.fit(long, labels, max_bytes=40_000)
-    assert len(set(toxicity.text_scores(model, [b"karan lodil mipes sumor tetuk", b"karan lodil mipes zorrbag tetuk pluknitt"]))) == 2
+    assert len(set(model([b"karan lodil mipes sumor tetuk", b"karan lodil mipes zorrbag tetuk pluknitt"]))) == 2
+
+
+def plain_score(model, text):
+    """The score by its definition, one word and one n-gram at a time."""
+    table, base, _ = toxicity.hash_tables(31)
+    words, total, n = text.lower().split(), 0.0, 0
+    for k in range(0, len(words), toxicity.WINDOW):
+        logits = []
+        for w in words[k : k + toxicity.WINDOW]:
+            padded = b" " + w + b" "
+            for size in toxicity.SIZES:
+                for i in range(len(padded) - size + 1):
+                    h = sum(int(table[c]) * pow(int(base), j, 1 << 64) for j, c in enumerate(padded[i : i + size])) * 0x9E3779B97F4A7C15 % (1 << 64)
+                    logits.append(float(model.table[h >> (64 - toxicity.BUCKET_BITS)]))
+        z = model.bias + sum(logits) / max(1, len(logits))
+        total += min(max(z, 0) + math.log1p(math.exp(-abs(z))), toxicity.MOST)
+        n += 1
+    return 1 - math.exp(-max(0.0, total - n * model.mean - toxicity.DEVIATIONS * math.sqrt(n) * model.deviation))
+
+
+def test_scores_equal_the_plain_version(spark):
+    d, labels, _ = labelled(spark, 200)
+    model = toxicity.fit(d, labels)
+    texts = [t.encode() for _, t, _ in rows() if t is not None] + [b"x", b"a\t\tb  zorrbag ", b"plukniz zorrbag " * 3]
+    for text, got in zip(texts, model(texts), strict=True):
+        assert got == pytest.approx(plain_score(model, text), abs=1e-6)
+
+
+def test_length_alone_makes_no_text_toxic(spark):
+    d, labels, truth = labelled(spark)
+    model = toxicity.fit(d, labels)
+    rng = random.Random(77)
+    long = prose(rng, 60_000).encode()
+    bad = next(r.text for r in d.collect() if truth[r.doc_id] == 1).encode()
+    clean, toxic = model([long, b" ".join([bad, long[:200_000]] * 3 + [bad] * 60)])
+    assert clean < 0.5 < toxic
+
+
+def test_the_sample_holds_both_classes_whatever_one_takes():
+    sizes = [(1, 0, 90), (2, 0, 30), (3, 1, 60), (4, 0, 25), (5, 1, 50), (6, 1, 1)]
+    assert [i for i, _, _ in toxicity.within(sizes, 100)] == [2, 5]
 
 
 # --- n-gram Jaccard join -------------------------------------------------------------------------------------------
