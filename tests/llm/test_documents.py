@@ -410,7 +410,7 @@ def brute_lines(data):
     for i, t in {(i, t) for i, t, _ in data}:
         for at, line in enumerate((t or "").split("\n")):
             plain = lines.normalise(line.encode())
-            if len(plain.split()) >= lines.MIN_WORDS:
+            if plain:
                 spots.append((plain, i, t, at))
     names = sorted({p for p, *_ in spots})
     sims = lines.simhashes(names)
@@ -422,7 +422,7 @@ def brute_lines(data):
         return x
 
     for a in range(len(names)):
-        for b in np.flatnonzero(np.bitwise_count(sims[:a] ^ sims[a]) <= lines.BITS).tolist():
+        for b in np.flatnonzero(np.bitwise_count(sims[:a] ^ sims[a]) <= 26).tolist():  # to spare time, the distance only of lines that are not far apart
             x, y = names[a].decode(), names[b].decode()
             if distance(x, y) <= int(max(len(x), len(y)) * (1 - lines.SIMILAR) + 1e-9):
                 parent[max(find(a), find(b))] = min(find(a), find(b))
@@ -450,8 +450,8 @@ def test_lines(spark, none):
     groups = brute_lines(data)
     gone = {}
     for members in groups.values():
-        h = {m: m for m in members}
-        first = min(h, key=lambda m: (m[0], m[1] if m[1] is not None else 0, m[3] if False else 0))
+        # ids ordered last when null; equal ids of other texts are not in these data
+        first = min(members, key=lambda m: (m[0], m[1] if m[1] is not None else 0))
         same_id = [m for m in members if (m[0], m[1]) == (first[0], first[1])]
         keep = min(same_id, key=lambda m: m[3])
         for m in members:
@@ -496,6 +496,35 @@ def test_short_lines_and_lines_without_blanks_are_deduplicated(spark):
     assert got == {k: t if k == 0 else f"only {'abcdef'[k] * 5} here\n" for k, t, _ in data}
 
 
+def test_lines_are_split_and_normalised():
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("aB\u00e9 \t\n\r\x0b") for _ in range(rng.randint(0, 60))).encode() for _ in range(200)] + [b"", b"\n\n", b" a ", b"x"]
+    data, starts, ends, text, at = lines.split_lines(texts)
+    got = [(t, k, data[a:b].tobytes()) for a, b, t, k in zip(starts, ends, text, at, strict=True)]
+    assert got == [(t, k, lines.normalise(x)) for t, y in enumerate(texts) for k, x in enumerate(y.split(b"\n"))]
+
+
+def test_edit_distance():
+    rng = random.Random(8)
+    pairs = []
+    for _ in range(300):
+        a = "".join(rng.choice("abcd\u6f22 ") for _ in range(rng.randint(0, 200 if rng.random() < 0.2 else 60)))
+        b = changed(rng, a, rng.randint(0, 8)) if len(a) > 10 and rng.random() < 0.8 else "".join(rng.choice("abc ") for _ in range(rng.randint(0, 40)))
+        pairs.append((a, b, distance(a, b)))
+    for most in (0, 1, 2, 4, 7, 12):
+        assert [lines.within(a, b, most) for a, b, _ in pairs] == [d <= most for *_, d in pairs]
+        assert lines.all_within([(a, b, most) for a, b, _ in pairs]).tolist() == [d <= most for *_, d in pairs]
+
+
+def test_very_long_lines(spark):
+    rng = random.Random(9)
+    long = prose(rng, 150_000)  # about a million characters
+    near = changed(rng, long, 60)
+    far = " ".join(x if k % 4 else "other" for k, x in enumerate(long.split(" ")))
+    got = {r.doc_id: r.text for r in lines.without_repeats(frame(spark, [(0, long, "s"), (1, near + "\nend", "s"), (2, far, "s")])).collect()}
+    assert got == {0: long, 1: "end", 2: far}
+
+
 def test_lines_of_other_digits_stay(spark):
     rows = ["2019 1423 5521 9034", "2018 7765 1290 4471", "row 17 of 3 May 2001: 5,120 paid", "row 94 of 8 May 1987: 3,466 paid", "2019 1423 5521 9035"]
     got = {r.doc_id: r.text for r in lines.without_repeats(frame(spark, [(k, x, "s") for k, x in enumerate(rows)])).collect()}
