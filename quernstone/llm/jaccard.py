@@ -9,18 +9,22 @@ share gives whole results; this one keeps licence lines and shared passages out
 Prefix. With n shingles, a partner shares at least o = ceil(0.75 n). The first n - o + k shingles of both then share
 k or more. k grows with a document's size and its estimated candidate cost (the occurrences of heavy shingles in its
 prefix), and a pair needs min(k, k') shared prefix shingles before it is verified.
-Candidates. Prefix shingles go to the reducers as packed arrays by hash range; those met in one document only end
-there, which is nearly all; so do documents with too few shared entries for any partner. The lists of the others are
-worked in rounds that never make all pairs of a group of near copies: in each, documents meet a few hubs of their
-lists (other ones in each round), the pairs that share enough are verified, components are formed, and lists whose
-documents are in one component are done with. When few pairs are left in the open lists, those between different
-components are made, counted and verified, so no link is lost. Pairs inside one component need no look, as the
-component is the result. Copies of one set are grouped by a 128-bit digest beforehand.
-Verification. Sets of candidate documents are built once, joined to the pairs, and intersected exactly.
+Candidates. A node is a set, named by its digest, so copies of one set are one node from the start. Prefix shingles go
+to the reducers as packed arrays by hash range; those met in one node only end there, which is nearly all; so do nodes
+with too few shared entries for any partner. The lists of the others are worked in a fixed number of rounds: in
+`HUB_ROUNDS` rounds nodes meet a few hubs of their lists (other ones in each round) and the next of a list by size; in
+`NEAREST_ROUNDS` each node outside its list's largest component meets its nearest, in some lists, which ties large
+components together by a few pairs; in the last, all pairs of all lists across components are looked at, in numpy.
+After each, pairs are verified and components formed. Pairs inside one component need no look, as the component is the
+result, and lists of one component are done with, so a group of near copies costs its size and not its square. In the
+nearest and last rounds a node carries `BITS` parities of its shingles: two sets differ in at least as many shingles as
+parities, so a pair that differs in too many can't link and goes no further; the others' shared entries are summed over
+all ranges, and pairs with min(k, k') of them are verified. No round, size or count drops a link.
+Verification. Sets of candidate nodes are built once, joined to the pairs, and intersected exactly.
 
 Cases. Null, empty or blank text: no shingles, linked with nothing. Fewer than five words: the whole sequence is one
 shingle. Null id: takes no part, component null. Repeated ids count as one document of all their rows' sets: each row
-keeps its n_shingles and they share a component. Other columns are not read.
+keeps its n_shingles and they share a component (but a row without words keeps its id). Other columns are not read.
 """
 
 from __future__ import annotations
@@ -33,18 +37,33 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quernstone.scratch import discard
+
 from .common import bound_batches, doc_chunks, joined, materialise, merged, mix64, partitions, texts_of, word_hashes
 
 WORDS = 5
 PERCENT = 75
 #: Heavy shingles that the order knows: at most so many, and only those met so often. 1 MB is broadcast.
 HEAVY, HEAVY_FROM = 1 << 17, 8
-#: Rounds in which documents meet hubs only, hubs of a list and tries of a document in a round; below so many pairs in open lists, all are made.
-HUB_ROUNDS, HUBS, ALL_PAIRS = 10, 3, 200_000
+#: Rounds in which nodes meet hubs only, hubs of a list and tries of a node in a round.
+HUB_ROUNDS, HUBS = 2, 3
+#: Rounds in which nodes meet their nearest, in one of so many lists.
+NEAREST_ROUNDS, SOME_LISTS = 2, 8
+BITS = 1024
+
+
+def shingle_sets(texts: list[bytes], words: int = WORDS, together: int = 1 << 20) -> list[np.ndarray]:
+    """The sorted distinct shingle hashes of each text; about a megabyte of text is hashed at a time."""
+    out, a, size = [], 0, 0
+    for b, t in enumerate(texts):
+        size += len(t)
+        if size >= together or b == len(texts) - 1:
+            out += sets_of(texts[a : b + 1], words)
+            a, size = b + 1, 0
+    return out
 
 
-def shingle_sets(texts: list[bytes], words: int = WORDS) -> list[np.ndarray]:
-    """The sorted distinct shingle hashes of each text."""
+def sets_of(texts: list[bytes], words: int) -> list[np.ndarray]:
     data, begins, ends = joined([t.lower() for t in texts])
     starts, _, h = word_hashes(data)
     lo, hi = np.searchsorted(starts, begins), np.searchsorted(starts, ends)
@@ -124,21 +143,18 @@ def prefix(s: np.ndarray, heavy: np.ndarray, cost: np.ndarray, percent: int = PE
 
 
 def postings(docs: DataFrame, heavy: np.ndarray, cost: np.ndarray, parts: int, words: int, percent: int) -> DataFrame:
-    """(part, shingles, docs, sizes): packed prefix entries of a slice, by hash range. The size holds n * 2**20 + k."""
+    """(part, shingles, nodes, sizes): packed prefix entries of a slice, by hash range. The size holds n * 2**20 + k."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in doc_chunks(batches, "text"):
-            ids = batch.column("doc_id").to_pylist()
-            seen, tokens, owners, sizes = {}, [], [], []
-            for doc_id, s in zip(ids, shingle_sets(texts_of(batch, "text"), words), strict=True):
-                if doc_id is None or not len(s):
+            seen, tokens, owners, sizes = set(), [], [], []
+            for doc_id, s in zip(batch.column("doc_id").to_pylist(), shingle_sets(texts_of(batch, "text"), words), strict=True):
+                if doc_id is None or not len(s) or (node := digest(s)[0]) in seen:
                     continue
-                key = (len(s), *digest(s))
-                if seen.setdefault(key, doc_id) != doc_id:
-                    continue  # a copy within the slice: the digests tie it to the first
+                seen.add(node)
                 p, k = prefix(s, heavy, cost, percent)
                 tokens.append(p)
-                owners.append(np.full(len(p), doc_id, np.int64))
+                owners.append(np.full(len(p), node, np.int64))
                 sizes.append(np.full(len(p), (len(s) << 20) + k, np.int64))
             if not tokens:
                 continue
@@ -148,20 +164,22 @@ def postings(docs: DataFrame, heavy: np.ndarray, cost: np.ndarray, parts: int, w
             t, o, z = t[order], o[order], z[order]
             cuts = np.searchsorted(part[order], np.arange(parts + 1))
             rows = [(p, t[a:b].tobytes(), o[a:b].tobytes(), z[a:b].tobytes()) for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)], ["part", "shingles", "docs", "sizes"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)], ["part", "shingles", "nodes", "sizes"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "part int, shingles binary, docs binary, sizes binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "part int, shingles binary, nodes binary, sizes binary")
 
 
 def shared_lists(entries: DataFrame, percent: int) -> DataFrame:
-    """(part, lists, docs, sizes): for each hash range the entries of shingles met in two or more documents of comparable size; lists numbers them."""
+    """(list, doc, size, least): of each hash range the entries of shingles met in two or more nodes of comparable size; list numbers them, the range above;
+    least is the least k among the comparable nodes of the list."""
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        t = np.frombuffer(b"".join(table.column("shingles").to_pylist()), np.uint64)
-        o = np.frombuffer(b"".join(table.column("docs").to_pylist()), np.int64)
-        z = np.frombuffer(b"".join(table.column("sizes").to_pylist()), np.int64)
-        order = np.lexsort((z, t))
+        t, o, z = (np.frombuffer(b"".join(table.column(c).to_pylist()), kind) for c, kind in (("shingles", np.uint64), ("nodes", np.int64), ("sizes", np.int64)))
+        order = np.lexsort((o, z, t))
         t, o, z = t[order], o[order], z[order]
+        # copies of one set in several slices are one entry
+        one = np.concatenate(([True], (t[1:] != t[:-1]) | (o[1:] != o[:-1]))) if len(t) else np.zeros(0, bool)
+        t, o, z = t[one], o[one], z[one]
         n = z >> 20
         # sorted by size within a list, an entry has a comparable partner if a neighbour is comparable
         near = (t[1:] == t[:-1]) & (100 * n[:-1] >= percent * n[1:])
@@ -170,23 +188,77 @@ def shared_lists(entries: DataFrame, percent: int) -> DataFrame:
         keep[:-1] |= near
         t, o, z = t[keep], o[keep], z[keep]
         number = np.cumsum(np.concatenate(([0], (t[1:] != t[:-1]).astype(np.int64)))) if len(t) else t.astype(np.int64)
-        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "lists": pa.array([number.tobytes()], pa.binary()), "docs": pa.array([o.tobytes()], pa.binary()), "sizes": pa.array([z.tobytes()], pa.binary())})
+        n, k = z >> 20, z & ((1 << 20) - 1)
+        place = number << 32 | n
+        lo = np.searchsorted(place, number << 32 | -(-percent * n // 100))
+        hi = np.searchsorted(place, number << 32 | 100 * n // percent, "right")
+        least = np.minimum.reduceat(np.append(k, 0), np.stack((lo, hi), axis=1).ravel())[::2] if len(k) else k
+        return pa.table({"list": pa.array((np.int64(key[0].as_py()) << np.int64(40)) + number), "doc": pa.array(o), "size": pa.array(z), "least": pa.array(least)})
 
-    return entries.groupBy("part").applyInArrow(run, "part int, lists binary, docs binary, sizes binary")
+    return entries.groupBy("part").applyInArrow(run, "list long, doc long, size long, least long")
 
 
-def entries_of(lists: DataFrame) -> DataFrame:
-    """(list, doc, size): the packed lists as rows."""
+def parities(s: np.ndarray) -> bytes:
+    """BITS parities of a set: each shingle turns one over."""
+    place = (mix64(s ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(BITS)).astype(np.int64)
+    return np.packbits(np.bincount(place, minlength=BITS) % 2 == 1, bitorder="little").tobytes()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, lists, docs, sizes in zip(*(batch.column(c).to_pylist() for c in ("part", "lists", "docs", "sizes")), strict=True):
-                number = (np.int64(part) << np.int64(40)) + np.frombuffer(lists, np.int64)
-                for a in range(0, len(number), 1 << 16):
-                    b = a + (1 << 16)
-                    yield pa.RecordBatch.from_arrays([pa.array(number[a:b]), pa.array(np.frombuffer(docs, np.int64)[a:b]), pa.array(np.frombuffer(sizes, np.int64)[a:b])], ["list", "doc", "size"])
 
-    return lists.mapInArrow(run, "list long, doc long, size long")
+def met_in_lists(left: DataFrame, percent: int, all_pairs: bool) -> DataFrame:
+    """(u, v): the pairs of different components in lists (list, doc, size, component, bits) that may link; or the nearest of each node outside its list's largest component."""
+
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        lists, doc, size, group = (table.column(c).to_numpy() for c in ("list", "doc", "size", "component"))
+        bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(len(doc), -1)
+        order = np.lexsort((group, lists))
+        lists, doc, size, group, bits = lists[order], doc[order], size[order], group[order], bits[order]
+        n, k = size >> 20, size & ((1 << 20) - 1)
+        first = np.flatnonzero(np.concatenate(([True], lists[1:] != lists[:-1])))
+        length = np.diff(np.append(first, len(lists)))
+        lo, many = np.repeat(first, length), np.repeat(length, length)
+        # the largest component of each list
+        run_at = np.flatnonzero(np.concatenate(([True], (lists[1:] != lists[:-1]) | (group[1:] != group[:-1]))))
+        count = np.diff(np.append(run_at, len(lists)))
+        top = np.lexsort((-count, lists[run_at]))
+        top = top[np.concatenate(([True], lists[run_at][top][1:] != lists[run_at][top][:-1]))]
+        outside = group != np.repeat(group[run_at][top], length)
+        rows = np.flatnonzero(outside)
+        total = np.concatenate(([0], np.cumsum(many[rows])))
+        found, a = [np.zeros((0, 4), np.int64)], 0
+        while a < len(rows):
+            b = max(a + 1, int(np.searchsorted(total, total[a] + (1 << 19), "right")) - 1)
+            i = np.repeat(rows[a:b], many[rows[a:b]])
+            j = np.arange(len(i)) - np.repeat(total[a:b] - total[a], many[rows[a:b]]) + lo[i]
+            some = (group[i] != group[j]) & (~outside[j] | (i > j) | (not all_pairs)) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
+            i, j = i[some], j[some]
+            apart = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1, dtype=np.int64)
+            some = apart * (100 + percent) <= (n[i] + n[j]) * (100 - percent)
+            i, j, apart = i[some], j[some], apart[some]
+            if not all_pairs:
+                share = apart * 1000 // (n[i] + n[j])
+                best = np.lexsort((doc[j], share, doc[i]))
+                best = best[np.concatenate(([True], doc[i][best][1:] != doc[i][best][:-1]))] if len(best) else best
+                i, j = i[best], j[best]
+            found.append(np.stack((np.maximum(doc[i], doc[j]), np.minimum(doc[i], doc[j]), np.minimum(k[i], k[j]), np.ones(len(i), np.int64)), axis=1))
+            if len(found) > 8:
+                found = [counted(np.concatenate(found))]
+            a = b
+        u, v, need, times = counted(np.concatenate(found)).T
+        return pa.table({"u": pa.array(u), "v": pa.array(v), "need": pa.array(need), "n": pa.array(times)})
+
+    found = left.groupBy(F.shiftright("list", 40).alias("part")).applyInArrow(run, "u long, v long, need long, n long")
+    return found.groupBy("u", "v").agg(F.sum("n").alias("n"), F.min("need").alias("need")).where("n >= need" if all_pairs else "true").select("u", "v")
+
+
+def counted(rows: np.ndarray) -> np.ndarray:
+    """Rows (u, v, need, n) with equal pairs summed."""
+    if not len(rows):
+        return rows
+    rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+    first = np.flatnonzero(np.concatenate(([True], (rows[1:, :2] != rows[:-1, :2]).any(axis=1))))
+    out = rows[first].copy()
+    out[:, 3] = np.add.reduceat(rows[:, 3], first)
+    return out
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -233,65 +305,72 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     total = rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     parts = max(16, int(total) // 1_500_000)
     lists = materialise(shared_lists(postings(docs, heavy, cost, parts, words, percent), percent), "jaccard-lists")
-    entries = materialise(entries_of(lists), "jaccard-entries")
-    # a document needs as many shared entries as its own k or the least k that its lists' documents ask for
-    lowest = entries.groupBy("list").agg(F.min(asked("size")).alias("k"))
-    able = entries.join(lowest, "list").groupBy("doc", "size").agg(F.count("*").alias("c"), F.min("k").alias("k")).where(F.col("c") >= F.least(asked("size"), F.col("k"))).select("doc")
-    entries = materialise(entries.join(able.distinct(), "doc", "left_semi"), "jaccard-able")
-
-    # copies of one set, and rows of one id, hang together before any pair is made
-    same = rows.where("doc_id is not null and n > 0")
-    copies = same.join(same.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("v"), F.count("*").alias("c")).where("c > 1"), ["d1", "d2", "n"]).where("doc_id <> v").select(F.col("doc_id").alias("u"), "v")
-    # an id with several sets hangs on each set's first id: components() joins those
-    labels = merged(spark.createDataFrame([], "node long, component long"), materialise(copies.distinct(), "jaccard-copies"), "jaccard-labels")
-
-    def labelled(of: DataFrame) -> DataFrame:
-        return of.join(labels.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
-
-    # sets of all documents that can be in a pair, bucketed by document: verifying moves pairs, not sets
-    wanted = entries.select(F.col("doc").alias("doc_id")).distinct()
+    # a node needs as many shared entries as the least k that it or a comparable node of its lists asks for; lists are left with those, twice over
+    active = lists
+    for _ in range(2):
+        able = active.groupBy("doc").agg(F.count("*").alias("c"), F.min("least").alias("k")).where("c >= k").select("doc")
+        kept = active.join(able, "doc", "left_semi")
+        shared = kept.groupBy("list").agg(F.count("*").alias("c")).where("c > 1").select("list")
+        before, active = active, materialise(kept.join(shared, "list", "left_semi"), "jaccard-able")
+        discard(before)
+
+    # nodes that an id has several of hang together before any pair is made
+    named = rows.where("doc_id is not null and n > 0").select("doc_id", F.col("d1").alias("doc"))
+    several = named.groupBy("doc_id").agg(F.min("doc").alias("v"), F.max("doc").alias("w")).where("v <> w")
+    links = materialise(named.join(several, "doc_id").where("doc <> v").select(F.col("doc").alias("u"), "v").distinct(), "jaccard-links")
+    labels = merged(spark.createDataFrame([], "node long, component long"), links, "jaccard-labels")
+
+    # sets of all nodes that can be in a pair, one document each, bucketed by node: verifying moves pairs, not sets
+    wanted = active.select("doc").distinct()
+    wanted = named.join(wanted, "doc", "left_semi").groupBy("doc").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in doc_chunks(batches, "text", 2 << 20):
-            sets = shingle_sets(texts_of(batch, "text"), words)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["doc", "shingles"])
+            sets = [s for s in shingle_sets(texts_of(batch, "text"), words) if len(s)]
+            yield pa.RecordBatch.from_arrays([pa.array([digest(s)[0] for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([parities(s) for s in sets], pa.binary())], ["doc", "shingles", "bits"])
 
-    table = f"jaccard_sets_{uuid.uuid4().hex}"
-    docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi").mapInArrow(build, "doc long, shingles binary").write.bucketBy(partitions(spark), "doc").saveAsTable(table)
+    table, n = f"jaccard_sets_{uuid.uuid4().hex}", partitions(spark)
+    built = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi").mapInArrow(build, "doc long, shingles binary, bits binary")
+    built.repartition(n, "doc").dropDuplicates(["doc"]).write.bucketBy(n, "doc").saveAsTable(table)
     sets = spark.table(table)
 
-    # hub rounds: documents meet a few hubs of their lists, not each other; lists of one component are done with
-    before, active, tried = None, entries, spark.createDataFrame([], "u long, v long")
-    for k in range(HUB_ROUNDS):
-        marked = materialise(labelled(active.select("list", "doc", "size")), f"jaccard-marked{k}")
-        mixed = marked.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("c")).where("low <> high")
-        left = materialise(marked.join(mixed.select("list", "c"), "list"), f"jaccard-open{k}")
-        # what making all pairs of the open lists would cost; hubs that join few more documents are not worth a round
-        cost_now = left.agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
-        if cost_now <= ALL_PAIRS or (before is not None and cost_now > 0.8 * before):
-            break
-        before = cost_now if k else None
-        hub = F.row_number().over(Window.partitionBy("list").orderBy(F.xxhash64("doc", F.lit(k)), "doc"))
-        hubs = left.withColumn("_n", hub).where(F.col("_n") <= (1 if k == 0 else HUBS)).select("list", F.struct("doc", "component", "size").alias("hub"))
-        met = left.join(hubs, "list").where("component <> hub.component").groupBy("doc", "size", F.col("hub.doc").alias("other"), F.col("hub.size").alias("size2")).agg(F.count("*").alias("n"))
-        met = met.where(comparable("size", "size2", percent)).where(F.col("n") >= F.least(asked("size"), asked("size2")))
-        nth = F.row_number().over(Window.partitionBy("doc").orderBy(F.col("n").desc(), "other"))
-        pairs = met.withColumn("_n", nth).where(F.col("_n") <= HUBS).select(F.greatest("doc", "other").alias("u"), F.least("doc", "other").alias("v")).distinct()
+    tried = spark.createDataFrame([], "u long, v long")
+    for k in range(HUB_ROUNDS + NEAREST_ROUNDS + 1):
+        # lists of one component are done with
+        marked = materialise(active.select("list", "doc", "size").join(labels.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc")), "jaccard-marked")
+        mixed = marked.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("list")
+        left = materialise(marked.join(mixed, "list"), "jaccard-open")
+        discard(marked, active)
+        active = left
+        if k < HUB_ROUNDS:
+            hub = F.row_number().over(Window.partitionBy("list").orderBy(F.xxhash64("doc", F.lit(k)), "doc"))
+            hubs = left.withColumn("_n", hub).where(F.col("_n") <= (HUBS if k else 1)).select("list", F.struct("doc", "component", "size").alias("hub"))
+            # and the next of their list by size, as near copies are nearly equal in size
+            after = F.lead(F.struct("doc", "component", "size")).over(Window.partitionBy("list").orderBy("size", "doc"))
+            met = left.join(hubs, "list").select("doc", "size", "component", "hub").unionByName(left.select("doc", "size", "component", after.alias("hub")))
+            met = met.where("component <> hub.component").groupBy("doc", "size", F.col("hub.doc").alias("other"), F.col("hub.size").alias("size2")).agg(F.count("*").alias("n"))
+            met = met.where(comparable("size", "size2", percent))  # n counts only lists in which the other is a hub, so it ranks and doesn't rule out
+            nth = F.row_number().over(Window.partitionBy("doc").orderBy(F.col("n").desc(), "other"))
+            new = met.withColumns({"u": F.greatest("doc", "other"), "v": F.least("doc", "other")}).join(tried, ["u", "v"], "left_anti")
+            pairs = new.withColumn("_n", nth).where(F.col("_n") <= HUBS).select("u", "v").distinct()
+        else:
+            last = k == HUB_ROUNDS + NEAREST_ROUNDS
+            some = left if last else left.where(F.pmod(F.xxhash64("list"), F.lit(SOME_LISTS)) == k % SOME_LISTS)
+            pairs = met_in_lists(some.join(sets.select("doc", "bits"), "doc"), percent, last)
         pairs = materialise(pairs.join(tried, ["u", "v"], "left_anti"), f"jaccard-pairs{k}")
         tried = tried.unionByName(pairs)
-        labels = merged(labels, materialise(verified(pairs, sets, percent), f"jaccard-links{k}"), f"jaccard-labels{k}")
-        active = left
-    else:
-        left = labelled(active.select("list", "doc", "size"))
-
-    # last, all pairs of a list whose documents still are in different components
-    x, y = left.select("list", F.col("doc").alias("u"), F.col("component").alias("cu"), F.col("size").alias("su")), left.select("list", F.col("doc").alias("v"), F.col("component").alias("cv"), F.col("size").alias("sv"))
-    need = F.least(asked("su"), asked("sv"))
-    pairs = x.join(y, "list").where("u > v and cu <> cv").where(comparable("su", "sv", percent)).groupBy("u", "v", need.alias("need")).agg(F.count("*").alias("n")).where("n >= need").select("u", "v").distinct()
-    pairs = materialise(pairs.join(tried, ["u", "v"], "left_anti"), "jaccard-pairs")
-    labels = merged(labels, materialise(verified(pairs, sets, percent), "jaccard-links"), "jaccard-labels")
-    found = rows.select("doc_id", "n").join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    return found.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+        links = materialise(verified(pairs, sets, percent), f"jaccard-links{k}")
+        labels = merged(labels, links, f"jaccard-labels{k}")
+    discard(active)
+    spark.sql(f"drop table {table}")
+    # the smallest id of each component
+    of = rows.where("doc_id is not null and n > 0").select("doc_id", F.col("d1").alias("node")).join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = of.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    by_node = of.select("node", "component").distinct().join(least, "component").select(F.col("node").alias("d1"), "component_id")
+    # a hot component's name is joined by node, so that its rows aren't gathered
+    found = rows.select("doc_id", "n", "d1").join(by_node, "d1", "left")
+    alone = F.when(F.col("doc_id").isNotNull() & (F.col("n") > 0), F.col("component_id")).otherwise(F.col("doc_id"))
+    return found.select("doc_id", F.col("n").alias("n_shingles"), alone.alias("component_id"))
 
 
 def one_of_each_group(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
