@@ -34,9 +34,9 @@ from .common import bound_batches, doc_chunks, hash_tables, joined, materialise,
 
 LENGTH = 200
 GRAM = 48
-SALT_AT = 20_000
-#: Bytes of contexts that a shard is planned for.
-SHARD_BYTES = 4 << 20
+#: Contexts of one anchor in a shard, some 350 bytes each; and the bytes of contexts that a shard is planned for.
+SALT_AT = 2500
+SHARD_BYTES = 1 << 20
 _POSITION = np.uint64((1 << 31) - 1)
 
 
@@ -83,7 +83,7 @@ def window_runs(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> t
 
 def runs(docs: DataFrame, length: int, gram: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in doc_chunks(batches, "text", 2 << 20):
+        for batch in doc_chunks(batches, "text", 1 << 20):
             doc, s, e, _, anchor, context = window_runs(texts_of(batch, "text"), length, gram)
             take = pa.array(doc)
             yield pa.RecordBatch.from_arrays(
@@ -97,7 +97,7 @@ def shared_contexts(docs: DataFrame, parts: int, length: int, gram: int) -> Data
     """(anchor, context, n, contexts): the contexts of anchors that occur at least twice; how often this one does, and how many the anchor has."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in doc_chunks(batches, "text", 2 << 20):
+        for batch in doc_chunks(batches, "text", 1 << 20):
             *_, anchor, context = window_runs(texts_of(batch, "text"), length, gram)
             if not len(anchor):
                 continue
@@ -203,11 +203,27 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, begins: np.ndarray, mos
     return shared
 
 
+def laid_out(contexts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All contexts in one byte array, their sizes and where each begins."""
+    sizes = np.fromiter(map(len, contexts), np.int64, len(contexts))
+    return np.frombuffer(b"".join(contexts), np.uint8), sizes, np.cumsum(sizes) - sizes
+
+
+def window_keys(contexts: list[bytes], number: np.ndarray, start: np.ndarray, length: int) -> np.ndarray:
+    """128-bit keys of windows, as two columns, from two independent sums."""
+    text, _, begins = laid_out(contexts)
+    at, halves = begins[number] + start, []
+    for seed in (71, 73):
+        table, base, inverse = hash_tables(seed)
+        total = np.zeros(len(text) + 1, np.uint64)
+        np.cumsum(table[text] * powers(base, len(text)), out=total[1:])
+        halves.append(mix64((total[at + length] - total[at]) * powers(inverse, len(text) + 1)[at]))
+    return np.stack(halves, axis=1)
+
+
 def repeated_windows(contexts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(context number, window start, class, whether another window of these contexts equals it) of all windows of a shard."""
-    text = np.frombuffer(b"".join(contexts), np.uint8)
-    sizes = np.fromiter(map(len, contexts), np.int64, len(contexts))
-    begins = np.cumsum(sizes) - sizes
+    text, sizes, begins = laid_out(contexts)
     order = suffix_array(text)
     shared = common_prefixes(text, order, begins, length)
     owner = np.repeat(np.arange(len(sizes)), sizes)
@@ -245,35 +261,42 @@ def partly_repeated(contexts: DataFrame, length: int, salt_at: int) -> DataFrame
     dealt = contexts.withColumn("salts", salts).withColumn("shard", F.pmod(F.xxhash64("anchor", F.pmod("context", "salts")), F.lit(shards)).cast("int"))
 
     def within(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        texts, salts = table.column("bytes").to_pylist(), np.array(table.column("salts").to_pylist())
-        anchors, names = table.column("anchor").to_pylist(), table.column("context").to_pylist()
-        number, start, cls, again = repeated_windows(texts, length)
-        rows = [(anchors[k], names[k], lo, hi, None) for k, spans in spans_of(number[again], start[again]) for lo, hi in spans]
-        # windows of anchors that other shards hold too: one key for each class that this shard has, in order
-        cross = salts[number] > 1
-        for k, s in zip(number[cross].tolist(), start[cross].tolist(), strict=True):
-            rows.append((anchors[k], names[k], s, s, hashlib.blake2b(texts[k][s : s + length], digest_size=16).digest()))
-        cols = list(zip(*rows, strict=True)) or [[]] * 5
-        return pa.table([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.int32()), pa.array(cols[4], pa.binary()), pa.array([key[0].as_py()] * len(rows), pa.int32())], ["anchor", "context", "lo", "hi", "key", "shard"])
-
-    found = materialise(dealt.groupBy("shard").applyInArrow(within, f"{PART}, key binary, shard int"), "sub-found")
+        texts = table.column("bytes").to_pylist()
+        salts, anchors, names = (table.column(c).to_numpy() for c in ("salts", "anchor", "context"))
+        number, start, _, again = repeated_windows(texts, length)
+        rows = [(anchors[k], names[k], lo, hi, None, None, None, None, None) for k, spans in spans_of(number[again], start[again]) for lo, hi in spans]
+        # windows of anchors that other shards hold too: packed by range of their keys
+        cross = np.flatnonzero(salts[number] > 1)
+        keys = window_keys(texts, number[cross], start[cross], length)
+        ranges = (keys[:, 0] % np.uint64(shards)).astype(np.int64)
+        order = np.lexsort((keys[:, 1], keys[:, 0], ranges))
+        cuts = np.searchsorted(ranges[order], np.arange(shards + 1)).tolist()
+        packed = [keys[order].astype(">u8"), anchors[number[cross][order]], names[number[cross][order]], start[cross][order].astype(np.int32)]
+        rows += [(None, None, None, None, r, *(x[a:b].tobytes() for x in packed)) for r, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 4]
+        columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 9, kinds, strict=True)]
+        return pa.table(columns, ["anchor", "context", "lo", "hi", "range", "keys", "anchors", "contexts", "starts"])
+
+    found = materialise(dealt.groupBy("shard").applyInArrow(within, f"{PART}, range long, keys binary, anchors binary, contexts binary, starts binary"), "sub-found")
 
     def across(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         """Sorted keys of each shard in this range, searched in those of the others."""
-        keys = np.frombuffer(b"".join(table.column("key").to_pylist()), "S16")
-        shard = np.array(table.column("shard").to_pylist())
-        order = np.argsort(keys, kind="stable")
-        lists = {s: np.unique(keys[shard == s]) for s in np.unique(shard).tolist()}
-        hit = np.zeros(len(keys), bool)
-        for s, theirs in lists.items():
-            other = np.flatnonzero(shard != s)
-            at = np.minimum(np.searchsorted(theirs, keys[other]), len(theirs) - 1)
-            hit[other] |= theirs[at] == keys[other]
-        return table.select(["anchor", "context", "lo", "hi"]).take(pa.array(order[hit[order]]))
-
-    keyed = found.where("key is not null").withColumn("range", F.conv(F.substring(F.hex("key"), 1, 3), 16, 10).cast("int"))
+        parts = [np.frombuffer(x, ">u8").reshape(-1, 2) for x in table.column("keys").to_pylist()]
+        lists = [np.ascontiguousarray(x).view([("a", ">u8"), ("b", ">u8")]).ravel() for x in parts]
+        # the lists merged, with the least and greatest shard of each key: a window is met elsewhere if either isn't its own
+        every = np.concatenate(lists)
+        shard = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+        order = np.argsort(every, kind="stable")
+        first = np.flatnonzero(np.concatenate(([True], every[order][1:] != every[order][:-1])))
+        low, high, union = np.minimum.reduceat(shard[order], first), np.maximum.reduceat(shard[order], first), every[order][first]
+        places = [np.searchsorted(union, mine) for mine in lists]
+        hit = np.concatenate([(low[at] != k) | (high[at] != k) for k, at in enumerate(places)])
+        anchor, context, start = (np.frombuffer(b"".join(table.column(c).to_pylist()), t)[hit] for c, t in (("anchors", np.int64), ("contexts", np.int64), ("starts", np.int32)))
+        return pa.table({"anchor": pa.array(anchor), "context": pa.array(context), "lo": pa.array(start), "hi": pa.array(start)})
+
+    keyed = found.where("keys is not null").select("range", "keys", "anchors", "contexts", "starts")
     merged = keyed.groupBy("range").applyInArrow(across, PART)
-    return found.where("key is null").select("anchor", "context", "lo", "hi").unionByName(merged)
+    return found.where("keys is null").select("anchor", "context", "lo", "hi").unionByName(merged)
 
 
 def contexts_of(docs: DataFrame, at: DataFrame, length: int) -> DataFrame:
@@ -281,7 +304,7 @@ def contexts_of(docs: DataFrame, at: DataFrame, length: int) -> DataFrame:
     per = at.groupBy("doc_id", "h").agg(F.collect_list(F.struct("anchor", "context", "contexts", "s", "more")).alias("wanted"))  # no more than a text has runs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in doc_chunks(batches, "text", 2 << 20):
+        for batch in doc_chunks(batches, "text", 1 << 20):
             rows = [(w["anchor"], w["context"], w["contexts"], text[w["s"] : w["s"] + w["more"] + length]) for text, wanted in zip(texts_of(batch, "text"), batch.column("wanted").to_pylist(), strict=True) for w in wanted]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["anchor", "context", "contexts", "bytes"])
@@ -306,7 +329,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, salt_at: int
     cuts = whole.unionByName(part).distinct().groupBy("doc_id", "h").agg(F.collect_list(F.struct("s", "e")).alias("cuts"))  # no more than a text has windows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in doc_chunks(batches, "text", 2 << 20):
+        for batch in doc_chunks(batches, "text", 1 << 20):
             rows = []
             for doc_id, text, cuts in zip(batch.column("doc_id").to_pylist(), texts_of(batch, "text"), batch.column("cuts").to_pylist(), strict=True):
                 kept, end, removed, spans = [], 0, 0, 0
