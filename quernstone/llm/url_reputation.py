@@ -56,15 +56,15 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
 def with_domains(df: DataFrame) -> DataFrame:
     """Adds suffix and domain of the column host. An address or a single label is its own domain and suffix."""
     two = F.substring_index("host", ".", -2)
-    suffix = F.when(F.col("host").rlike(r"^[0-9.]+(:[0-9]*)?$"), F.col("host")).when(two.isin(*TWO_LABEL_SUFFIXES), two).otherwise(F.substring_index("host", ".", -1))
+    suffix = F.when(F.col("host").rlike(r"^[0-9.]*[0-9][0-9.]*(:[0-9]*)?$"), F.col("host")).when(two.isin(*TWO_LABEL_SUFFIXES), two).otherwise(F.substring_index("host", ".", -1))
     df = df.withColumn("suffix", suffix)
     rest = F.expr("substring(host, 1, greatest(length(host) - length(suffix) - 1, 0))")
     return df.withColumn("domain", F.when(rest == "", F.col("host")).otherwise(F.concat_ws(".", F.substring_index(rest, ".", -1), F.col("suffix"))))
 
 
-def shrunk(children: DataFrame, parents: DataFrame, on: str | None) -> DataFrame:
+def shrunk(children: DataFrame, parents: DataFrame, on: list[str] | None) -> DataFrame:
     """children (key, on, n, k) with the posterior mean and weight that the parents' means (on, mean) lead to."""
-    rows = children.join(parents.select(on, F.col("mean").alias("m")), on) if on else children.crossJoin(F.broadcast(parents.select(F.col("mean").alias("m"))))
+    rows = children.join(parents.select(*on, F.col("mean").alias("m")), on) if on else children.crossJoin(F.broadcast(parents.select(F.col("mean").alias("m"))))
     spread = F.pow(F.col("k") - F.col("n") * F.col("m"), 2) - F.col("n") * F.col("m") * (1 - F.col("m"))
     pairs = F.col("n") * (F.col("n") - 1) * F.col("m") * (1 - F.col("m"))
     # One row: the moments of all children.
@@ -80,8 +80,9 @@ def reputation(outcomes: DataFrame, z: float = 1.645) -> DataFrame:
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     root = suffixes.agg(((F.coalesce(F.sum("k"), F.lit(0.0)) + 0.5) / (F.coalesce(F.sum("n"), F.lit(0.0)) + 1)).alias("mean"))
     by_suffix = shrunk(suffixes, root, None)
-    by_domain = shrunk(domains, by_suffix, "suffix")
-    by_host = shrunk(n, by_domain.drop("suffix"), "domain")
+    by_domain = shrunk(domains, by_suffix, ["suffix"])
+    # a domain is named by its suffix too: an address and a host of one label more can agree in the rest
+    by_host = shrunk(n, by_domain, ["domain", "suffix"])
     bound = F.col("mean") - z * F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("weight") + 1))
     return by_host.select("host", "n", "k", "mean", bound.alias("bound"))
 
@@ -110,7 +111,7 @@ def oracle(rules=RULES, threshold: float = 0.5, z: float = 1.645) -> str:
     levels = "".join([
         _LEVEL.format(name="s", children="suffixes", parents="root", on="ON true") + ",",
         _LEVEL.format(name="d", children="domains", parents="s", on="USING (suffix)") + ",",
-        _LEVEL.format(name="h", children="hosts", parents="d", on="USING (domain)"),
+        _LEVEL.format(name="h", children="hosts", parents="d", on="ON c.domain = p.domain AND c.suffix = p.suffix"),
     ])
     two = "array_to_string(string_split(host, '.')[-2:], '.')"
     return f"""
@@ -118,7 +119,7 @@ WITH parts AS (SELECT page_id, coalesce(translate(regexp_extract(url, '(?s)^.*?:
   coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
 ruled AS (SELECT *, {cases[1]} AS rule, {cases[0]} AS said FROM parts),
 counts AS (SELECT host, count(*)::DOUBLE AS n, coalesce(sum((said = 'block')::INT), 0)::DOUBLE AS k FROM ruled GROUP BY host),
-cut AS (SELECT *, CASE WHEN regexp_matches(host, '^[0-9.]+(:[0-9]*)?$') THEN host WHEN {two} IN ({", ".join(f"'{x}'" for x in TWO_LABEL_SUFFIXES)}) THEN {two} ELSE string_split(host, '.')[-1] END AS suffix FROM counts),
+cut AS (SELECT *, CASE WHEN regexp_matches(host, '^[0-9.]*[0-9][0-9.]*(:[0-9]*)?$') THEN host WHEN {two} IN ({", ".join(f"'{x}'" for x in TWO_LABEL_SUFFIXES)}) THEN {two} ELSE string_split(host, '.')[-1] END AS suffix FROM counts),
 rest AS (SELECT *, substring(host, 1, greatest(length(host) - length(suffix) - 1, 0)) AS rest FROM cut),
 hosts AS (SELECT host, CASE WHEN rest = '' THEN host ELSE string_split(rest, '.')[-1] || '.' || suffix END AS domain, suffix, n, k FROM rest),
 domains AS (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM hosts GROUP BY ALL),

@@ -4,8 +4,9 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 
-from quernstone.llm import neighbours, queries, url_reputation
+from quernstone.llm import neighbours, queries, toxicity, url_reputation
 
 
 def test_urls(spark):
@@ -97,3 +98,54 @@ def test_pipeline(spark, tmp_path):
     assert docs.columns == ["doc_id", "n_tokens", "ids"]
     whole = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert Counter((r.doc_id, tuple(r.ids)) for r in whole) == Counter((r.doc_id, tuple(r.ids)) for r in docs.collect())
+
+
+def test_hosts_that_agree_in_the_rest_give_one_row_a_page(spark):
+    hosts = ["0.1", "a.0.1", ".", "x..", "b.0.1", "..", "1.2.3.4:80", "localhost", ""]
+    pages = spark.createDataFrame([(k, f"http://{h}/p") for k, h in enumerate(hosts)], "page_id long, url string")
+    got = url_reputation.judge(pages).collect()
+    assert sorted((r.page_id, r.host) for r in got) == list(enumerate(hosts))
+
+
+def test_repeated_ids_are_queries_and_candidates_of_their_own(spark):
+    rng = np.random.default_rng(3)
+    rows = [(k, rng.normal(size=8).tolist(), 1) for k in range(30)] + [(0, rng.normal(size=8).tolist(), 1)]
+    got = neighbours.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), every=30).collect()
+    x = np.array([r[1] for r in rows])
+    expected = []
+    for q in (0, 30):
+        s = sorted((-float(np.dot(x[q], x[j])), rows[j][0]) for j in range(31) if j != q)[:20]
+        expected += [(0, k + 1, i, pytest.approx(-v)) for k, (v, i) in enumerate(s)]
+    got = sorted(tuple(r) for r in got)
+    assert len(got) == 40
+    for e in expected:
+        assert any(e == g for g in got)
+
+
+def test_one_very_long_vector_spoils_no_other(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(600, 16))
+    x[7] *= 1e9
+    rows = [(k, v.tolist(), 1) for k, v in enumerate(x)]
+    got = neighbours.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    hit = 0
+    for q in range(0, 600, 20):
+        s = x @ x[q]
+        s[q] = -np.inf
+        hit += len({r.vec_id for r in got if r.query_id == q} & set(np.argsort(-s)[:20].tolist()))
+    assert hit >= 0.9 * 600
+
+
+def test_stages_on_empty_tables_with_extra_columns(spark):
+    import corpus_pipeline
+
+    schema = "doc_id long, text string, lang string, source string, n_chars long, size int, h string, kind string"
+    none = spark.createDataFrame([], schema)
+    odd = spark.createDataFrame([(1, None, None, None, None, 1, "a", "b"), (1, None, None, None, None, 1, "a", "b"), (None, "one two\nthree", "en", None, 3, None, None, None), (2, "", "en", "s", 0, 2, "x", "y")], schema)
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    for docs in (none, odd):
+        for name, stage in corpus_pipeline.STAGES:
+            args = (spark, docs, "") if name != "toxicity" else None
+            out = stage(*args) if args else toxicity.clean_documents(docs, toxicity.fit(docs, labels))
+            assert name == "SentencePiece" or out.columns == docs.columns
+            assert (out.count() > 0) == (docs is odd), name
