@@ -3,8 +3,8 @@
 Equal vectors are one node (a list of ids). The graph starts from random-projection buckets of bounded size and is
 improved by iterative Spark joins of neighbours of neighbours: each node sends its vector along its links, a node
 that gets the vectors of its neighbours scores all against all of them (their number is bounded by a node's degree)
-and proposes to each its best few new neighbours, and a node keeps its best `degree`. Vectors travel as float16 while
-the graph is built. Reverse links are kept to `degree` a node by score, so that a hub's list is bounded.
+and proposes to each its best few new neighbours, and a node keeps its best `degree`. Vectors travel as float32,
+scaled by the largest component of all, while the graph is built. Reverse links are kept to `degree` a node by score, so that a hub's list is bounded.
 
 Search is greedy, for all queries at once: a query starts at its own node and at fixed entry nodes; in
 each step a join brings the neighbours of its best nodes that have not been opened yet, and the best `beam` stay. The
@@ -13,7 +13,7 @@ scores that are returned are inner products in double precision of the original
 Index: fitted on and holding every row. Recall against brute force is measured in tests and in the README.
 
 Cases. Vectors that are null, zero, of another length than most, or hold null or non-finite components take no part.
-Null ids take no part. Repeated ids count each row as a candidate. Fewer candidates than k: all found. Ties go to the
+Null ids take no part. Repeated ids: each row is a candidate, and each is a query with a list of its own. Fewer candidates than k: all found. Ties go to the
 smaller vec_id. Empty table: no rows. Other columns are not read.
 """
 
@@ -30,9 +30,11 @@ from pyspark.sql import functions as F
 
 from .common import bound_batches, materialise, partitions
 
-DEGREE = 24
+DEGREE = 32
+#: Of a node's links both ways so many meet in a round, and each of them gets so many proposals.
+MEET, PROPOSE = 48, 8
 BUCKET = 128
-TREES = 6
+TREES = 8
 ROUNDS = 5
 #: Candidates that a query keeps, steps of its walk, nodes that it opens in a step, entries besides its own node.
 BEAM = 256
@@ -53,9 +55,9 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 
 def half(batch: pa.RecordBatch, name: str) -> np.ndarray:
-    """A column of packed float16 vectors as float32 rows."""
+    """A column of packed float32 vectors as rows."""
     raw = batch.column(name).to_pylist()
-    return np.frombuffer(b"".join(raw), np.float16).reshape(len(raw), -1).astype(np.float32)
+    return np.frombuffer(b"".join(raw), np.float32).reshape(len(raw), -1)
 
 
 def best_of(proposals: DataFrame, degree: int) -> DataFrame:
@@ -87,7 +89,7 @@ def tree_start(nodes: DataFrame, n: int, dim: int, trees: int, bucket: int, degr
 
     def meet(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         node = np.array(table.column("node").to_pylist())
-        x = np.frombuffer(b"".join(table.column("x").to_pylist()), np.float16).reshape(len(node), -1).astype(np.float32)
+        x = np.frombuffer(b"".join(table.column("x").to_pylist()), np.float32).reshape(len(node), -1)
         return proposed(node, x, degree // 2)
 
     return dealt.groupBy("tree", "cell", "piece").applyInArrow(meet, "u long, v long, s double")
@@ -108,13 +110,13 @@ def proposed(node: np.ndarray, x: np.ndarray, best: int) -> pa.Table:
 def descend(graph: DataFrame, nodes: DataFrame, degree: int) -> DataFrame:
     """One round of NN-descent: proposals among the neighbours (both ways) of each node."""
     back = graph.select(F.col("v").alias("u"), F.col("u").alias("v"), "s")
-    both = best_of(graph.unionByName(back), degree)
+    both = best_of(graph.unionByName(back), max(degree, MEET))
     sent = both.select("u", F.col("v").alias("node")).unionByName(nodes.select(F.col("node").alias("u"), "node")).join(nodes, "node")
 
     def meet(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         node = np.array(table.column("node").to_pylist())
-        x = np.frombuffer(b"".join(table.column("x").to_pylist()), np.float16).reshape(len(node), -1).astype(np.float32)
-        return proposed(node, x, 5)
+        x = np.frombuffer(b"".join(table.column("x").to_pylist()), np.float32).reshape(len(node), -1)
+        return proposed(node, x, PROPOSE)
 
     found = sent.groupBy("u").applyInArrow(meet, "u long, v long, s double")
     return best_of(graph.unionByName(found), degree)
@@ -132,15 +134,15 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, degree: int = DEGRE
     """(query_id, rank, vec_id, score): for every row whose id is divisible by `every`, its k nearest other rows."""
     spark = vectors.sparkSession
     bound_batches(spark)
-    rows = materialise(usable(vectors).withColumn("name", F.sha2(F.concat_ws(",", F.col("v").cast("array<string>")), 256)), "nn-rows")
-    # equal vectors are one node, named by its smallest id; of its ids the k + 1 smallest can be among k nearest
-    named = rows.groupBy("name").agg(F.min("vec_id").alias("node"), F.min_by("v", "vec_id").alias("v"))
+    rows = materialise(usable(vectors).withColumn("name", F.sha2(F.concat_ws(",", F.col("v").cast("array<string>")), 256)).withColumn("row", F.monotonically_increasing_id()), "nn-rows")
+    # equal vectors are one node, named by its first row; of its ids the k + 1 smallest can be among k nearest
+    named = rows.groupBy("name").agg(F.min("row").alias("node"), F.min_by("v", "row").alias("v"))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             v = np.array(batch.column("v").to_pylist(), np.float64).reshape(batch.num_rows, -1)
-            # one scale for all, so that large components fit float16
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([x.tobytes() for x in (v / scale).astype(np.float16)], pa.binary()), pa.array([x.tobytes() for x in v], pa.binary()), batch.column("name")], ["node", "x", "full", "name"])
+            # one scale for all; float32 keeps what is far smaller than the largest
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([x.tobytes() for x in (v / scale).astype(np.float32)], pa.binary()), pa.array([x.tobytes() for x in v], pa.binary()), batch.column("name")], ["node", "x", "full", "name"])
 
     n, dim, largest = named.agg(F.count("*"), F.coalesce(F.max(F.size("v")), F.lit(1)), F.max(F.array_max(F.transform("v", F.abs)))).first()
     scale = float(largest) if largest else 1.0
@@ -155,10 +157,10 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, degree: int = DEGRE
     packed.write.bucketBy(partitions(spark), "u").saveAsTable(table)
     blocks = spark.table(table)
 
-    ids = rows.select("vec_id", "name").withColumn("nth", F.row_number().over(Window.partitionBy("name", F.pmod("vec_id", F.lit(64))).orderBy("vec_id"))).where(F.col("nth") <= k + 1)
-    ids = ids.withColumn("nth", F.row_number().over(Window.partitionBy("name").orderBy("vec_id"))).where(F.col("nth") <= k + 1).select("vec_id", "name")
-    members = ids.join(nodes.select("node", "name"), "name").select("node", "vec_id")
-    asked = rows.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "name").join(nodes, "name").select("query_id", F.col("node").alias("at"), "x", "full")
+    ids = rows.select("vec_id", "name", "row").withColumn("nth", F.row_number().over(Window.partitionBy("name", F.pmod("vec_id", F.lit(64))).orderBy("vec_id", "row"))).where(F.col("nth") <= k + 1)
+    ids = ids.withColumn("nth", F.row_number().over(Window.partitionBy("name").orderBy("vec_id", "row"))).where(F.col("nth") <= k + 1).select("vec_id", "name", "row")
+    members = ids.join(nodes.select("node", "name"), "name").select("node", "vec_id", "row")
+    asked = rows.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "name", F.col("row").alias("own")).join(nodes, "name").select("query_id", "own", F.col("node").alias("at"), "x", "full")
     # queries of one vector share a walk
     walks = materialise(asked.select("at", "x", "full").dropDuplicates(["at"]), "nn-walks")
     # the walk starts at its own node and at fixed entries, so that parts of the graph without links to it are met
@@ -175,7 +177,7 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, degree: int = DEGRE
                 lens = np.array(pc.list_value_length(block).to_pylist(), np.int64)
                 flat = block.flatten()
                 v = flat.field("v").to_numpy(zero_copy_only=False)
-                x = np.frombuffer(b"".join(flat.field("x").to_pylist()), np.float16).reshape(len(v), -1).astype(np.float32)
+                x = np.frombuffer(b"".join(flat.field("x").to_pylist()), np.float32).reshape(len(v), -1)
                 q = half(part, "q")
                 row = np.repeat(np.arange(len(q)), lens)
                 s = np.einsum("ij,ij->i", q[row], x).astype(np.float64)
@@ -201,7 +203,8 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, degree: int = DEGRE
         pool = pool.groupBy("at", "v").agg(F.max("score").alias("score"), F.max("opened").alias("opened"))
     last = materialise(pool.withColumn("_n", F.row_number().over(top)).where(F.col("_n") <= 2 * k + 8).select("at", "v"), "nn-last")
     wide = last.join(nodes.select(F.col("node").alias("v"), "full"), "v").join(walks.select("at", F.col("full").alias("full_q")), "at")
+    spark.sql(f"drop table {table}")
     nearest = materialise(wide.select("at", "v", "full_q", "full").mapInArrow(exact, "at long, v long, score double"), "nn-found")
-    each = asked.select("query_id", "at").join(nearest, "at").join(members.withColumnRenamed("node", "v"), "v").where("vec_id <> query_id")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
+    each = asked.select("query_id", "own", "at").join(nearest, "at").join(members.withColumnRenamed("node", "v"), "v").where("row <> own")
+    rank = F.row_number().over(Window.partitionBy("own").orderBy(F.col("score").desc(), "vec_id", "row"))
     return each.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
