@@ -55,14 +55,37 @@ def ordinal(n: int) -> str:
     return said[:cut] + ORDINALS.get(last, last[:-1] + "ieth" if last.endswith("y") else last + "th")
 
 
-def number(token: str) -> str:
+#: Telugu numerals, 0 to 19 and the tens from 20; the word for the point; (size, one of them, several).
+TELUGU_SMALL = ("సున్నా", "ఒకటి", "రెండు", "మూడు", "నాలుగు", "ఐదు", "ఆరు", "ఏడు", "ఎనిమిది", "తొమ్మిది", "పది", "పదకొండు", "పన్నెండు", "పదమూడు", "పద్నాలుగు", "పదిహేను", "పదహారు", "పదిహేడు", "పద్దెనిమిది", "పంతొమ్మిది")
+TELUGU_TENS = ("ఇరవై", "ముప్పై", "నలభై", "యాభై", "అరవై", "డెబ్బై", "ఎనభై", "తొంభై")
+TELUGU_POINT = "బిందువు"
+TELUGU_LARGE = ((10_000_000, "కోటి", "కోట్ల"), (100_000, "లక్ష", "లక్షల"), (1000, "వెయ్యి", "వేల"), (100, "వంద", "వందల"))
+
+
+def telugu(n: int) -> str:
+    """A whole number in Telugu, by crores, lakhs, thousands and hundreds."""
+    if n < 20:
+        return TELUGU_SMALL[n]
+    if n < 100:
+        ten = TELUGU_TENS[n // 10 - 2]
+        return f"{ten} {TELUGU_SMALL[n % 10]}" if n % 10 else ten
+    for size, one, several in TELUGU_LARGE:
+        if n >= size:
+            many, rest = divmod(n, size)
+            said = one if many == 1 else f"{telugu(many)} {several}"
+            return f"{said} {telugu(rest)}" if rest else said
+    raise ValueError(n)
+
+
+def number(token: str, language: str | None = "en") -> str:
     """A number as written, said; what can't be said stays."""
     plain = token.replace(",", "")
+    say, small, point = (telugu, TELUGU_SMALL, TELUGU_POINT) if language == "te" else (cardinal, SMALL, "point")
     try:
         if "." in plain:
             whole, part = repr(float(plain)).split(".")
-            return f"{cardinal(int(whole))} point {' '.join(SMALL[int(d)] for d in part)}"
-        return cardinal(int(plain))
+            return f"{say(int(whole))} {point} {' '.join(small[int(d)] for d in part)}"
+        return say(int(plain))
     except (ValueError, IndexError):
         return plain
 
@@ -75,12 +98,13 @@ def ordinal_token(match: re.Match) -> str:
 
 
 @F.pandas_udf(StringType())
-def spoken_numbers(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: None if t is None else NUMBER.sub(lambda m: number(m[0]), ORDINAL.sub(ordinal_token, t)))
+def spoken_numbers(texts: pd.Series, languages: pd.Series) -> pd.Series:
+    said = lambda t, lang: NUMBER.sub(lambda m: number(m[0], lang), t if lang == "te" else ORDINAL.sub(ordinal_token, t))
+    return pd.Series([None if t is None else said(t, lang) for t, lang in zip(texts, languages, strict=True)], dtype=object)
 
 
 def spoken(text: Column, language: Column) -> Column:
     """Text as it is read aloud: currency and abbreviations (English), numbers, symbols, white space."""
     english = T.spoken_abbreviations(T.spoken_currency(text))
-    said = spoken_numbers(F.when(language == "en", english).otherwise(text))
+    said = spoken_numbers(F.when(language == "en", english).otherwise(text), language)
     return T.collapsed(T.spoken_symbols(said, language))

@@ -1,9 +1,13 @@
-"""Text and score functions: Column -> Column, inside whole-stage code generation."""
+"""Text and score functions: Column -> Column, inside whole-stage code generation but for Unicode composition."""
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Marks that end a complete transcript.
 TERMINAL = (".", "!", "?", "।", "॥", '"', "'", ")", "]", "}", "”")
@@ -101,14 +105,20 @@ def annotated(text: Column, language: Column) -> Column:
     return F.when(truncated(text), F.concat(F.regexp_replace(bracketed, "[ .]+$", ""), F.lit(" —"))).otherwise(bracketed)
 
 
+@F.pandas_udf(StringType())
+def composed(texts: pd.Series) -> pd.Series:
+    """Unicode's composed form (NFC)."""
+    return texts.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
+
+
 def comparison_form(text: Column) -> Column:
-    """Lower-cased, without anything but word characters and white space, collapsed."""
-    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(text), r"(?U)[^\w\s]", ""), r"(?U)\s+", " "))
+    """Composed, lower-cased, without anything but word characters and white space, collapsed."""
+    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(composed(text)), r"(?U)[^\w\s]", ""), r"(?U)\s+", " "))
 
 
 def recognition_form(text: Column, delete: bool = False) -> Column:
-    """For error rates: lower-cased, tags <|..|> gone, punctuation and symbols made blanks (or deleted), collapsed."""
-    t = F.translate(F.lower(F.regexp_replace(text, r"<\|.*?\|>", "")), LEFT_OUT, "")
+    """For error rates: composed, lower-cased, tags <|..|> gone, punctuation and symbols made blanks (or deleted), collapsed."""
+    t = F.translate(F.lower(F.regexp_replace(composed(text), r"<\|.*?\|>", "")), LEFT_OUT, "")
     return F.trim(F.regexp_replace(F.regexp_replace(t, r"[\p{P}\p{S}]", "" if delete else " "), r"(?U)\s+", " "))
 
 

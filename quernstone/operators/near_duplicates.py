@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quernstone.functions import text as T
 from quernstone.scratch import materialise
 
 
+def named(by: str) -> Column:
+    """The group of a row, as a string that is never null."""
+    return F.coalesce(F.concat(F.lit("="), F.col(by).cast("string")), F.lit("none")).alias(by)
+
+
 def similar_pairs(rows: DataFrame, key: str, text: str, by: str, percent: int = 90) -> DataFrame:
     """(a, b) with a < b: rows of one `by` whose token sets have a Jaccard of percent / 100 or more; empty sets have none.
 
@@ -16,7 +21,7 @@ def similar_pairs(rows: DataFrame, key: str, text: str, by: str, percent: int =
     n - ceil(percent * n / 100) + 1, so only those meet. Sets that are equal are joined as one by their hash, each to
     the first, beside the pairs of different sets, so that copies need not be paired with each other.
     """
-    sets = rows.select(key, by, T.token_set(F.col(text)).alias("tokens")).where(F.size("tokens") > 0)
+    sets = rows.select(key, named(by), T.token_set(F.col(text)).alias("tokens")).where(F.size("tokens") > 0)
     sets = sets.withColumn("tokens", F.array_sort("tokens")).withColumn("h", F.sha2(F.array_join("tokens", "\n"), 256))
     first = sets.groupBy(by, "h").agg(F.min(key).alias("rep"), F.first("tokens").alias("tokens"))
     posts = first.select(by, "rep", F.size("tokens").alias("n"), F.explode("tokens").alias("t"))
@@ -24,9 +29,9 @@ def similar_pairs(rows: DataFrame, key: str, text: str, by: str, percent: int =
     at = F.row_number().over(Window.partitionBy(by, "rep").orderBy("df", "t"))
     prefix = posts.join(rare, [by, "t"]).withColumn("i", at).where(F.expr(f"i <= n - (n * {percent} + 99) div 100 + 1")).select(by, "t", "rep", "n")
     x, y = prefix.select(by, "t", F.col("rep").alias("a"), F.col("n").alias("na")), prefix.select(by, "t", F.col("rep").alias("b"), F.col("n").alias("nb"))
-    met = x.join(y, [by, "t"]).where("a < b").where(F.expr(f"least(na, nb) * 100 >= greatest(na, nb) * {percent}")).select("a", "b").distinct()
-    full = first.select("rep", "tokens")
-    both = met.join(full.withColumnRenamed("rep", "a").withColumnRenamed("tokens", "ta"), "a").join(full.withColumnRenamed("rep", "b").withColumnRenamed("tokens", "tb"), "b")
+    met = x.join(y, [by, "t"]).where("a < b").where(F.expr(f"least(na, nb) * 100 >= greatest(na, nb) * {percent}")).select(by, "a", "b").distinct()
+    full = first.select(by, "rep", "tokens")
+    both = met.join(full.withColumnRenamed("rep", "a").withColumnRenamed("tokens", "ta"), [by, "a"]).join(full.withColumnRenamed("rep", "b").withColumnRenamed("tokens", "tb"), [by, "b"])
     return both.where(F.size(F.array_intersect("ta", "tb")) * 100 >= F.size(F.array_union("ta", "tb")) * percent).select("a", "b")
 
 
@@ -42,19 +47,20 @@ def members(rows: DataFrame, key: str, text: str, by: str) -> DataFrame:
     return s.join(f, F.expr(f"s.h = f.h and s.`{by}` <=> f.`{by}`")).select(F.col(f"s.`{key}`"), "representative")
 
 
-def greedy_kept(rows: DataFrame, key: str, text: str, by: str, percent: int = 90, rounds: int = 1000) -> DataFrame:
+def greedy_kept(rows: DataFrame, key: str, text: str, by: str, percent: int = 90) -> DataFrame:
     """(key, dropped): in the order of key, a row goes if a row before it that stays is similar; rows with empty sets stay.
 
     Copies of a set go at once (the first decides for all). The rest is settled in rounds on the edges: who has no
-    undecided earlier neighbour stays or, with a kept one, goes.
+    undecided earlier neighbour stays or, with a kept one, goes; each round settles the first undecided row of a chain
+    at least, so the rounds end. Rows without `by` are a group of their own.
     """
-    sets = rows.select(key, by, T.token_set(F.col(text)).alias("tokens"))
+    sets = rows.select(key, named(by), T.token_set(F.col(text)).alias("tokens"))
     sets = sets.withColumn("h", F.when(F.size("tokens") > 0, F.sha2(F.array_join(F.array_sort("tokens"), "\n"), 256)).otherwise(F.concat(F.lit("empty "), F.col(key).cast("string"))))
     reps = sets.groupBy(by, "h").agg(F.min(key).alias("rep"))
     edges = materialise(similar_pairs(rows, key, text, by, percent), "greedy-edges")
     nodes = edges.select(F.col("a").alias("rep")).union(edges.select("b")).distinct()
     state = nodes.withColumn("keep", F.lit(None).cast("boolean"))
-    for _ in range(rounds):
+    while True:
         earlier = edges.join(state.select(F.col("rep").alias("a"), "keep"), "a").groupBy(F.col("b").alias("rep")).agg(F.coalesce(F.bool_or("keep"), F.lit(False)).alias("hit"), F.bool_or(F.col("keep").isNull()).alias("open"))
         step = state.join(earlier, "rep", "left").select("rep", F.when(F.col("keep").isNotNull(), F.col("keep")).when(F.coalesce("hit", F.lit(False)), False).when(~F.coalesce("open", F.lit(False)), True).alias("keep"))
         # written, so that the plan doesn't grow with the rounds; it has only rows with similar others

@@ -121,6 +121,26 @@ def extreme_sources(spark, sf):
     return per.agg(F.max_by("user_id", F.struct("m", -F.col("user_id"))).alias("top_user"), F.min_by("user_id", F.struct("m", "user_id")).alias("low_user"))
 
 
+@query("emotion_means", "SELECT event_type AS emotion, round(avg(value), 6) AS valence, round(avg(user_id), 6) AS arousal, count(*) AS n FROM events GROUP BY event_type")
+def emotion_means(spark, sf):
+    t = table(spark, sf, "events")
+    return t.groupBy(F.col("event_type").alias("emotion")).agg(F.round(F.avg("value"), 6).alias("valence"), F.round(F.avg("user_id"), 6).alias("arousal"), F.count("*").alias("n"))
+
+
+@query("language_means", "SELECT lang, round(avg(quality), 6) AS quality, round(avg(toxic), 6) AS toxic, count(*) AS n FROM documents JOIN labels USING (doc_id) GROUP BY lang")
+def language_means(spark, sf):
+    t = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id")
+    return t.groupBy("lang").agg(F.round(F.avg("quality"), 6).alias("quality"), F.round(F.avg("toxic"), 6).alias("toxic"), F.count("*").alias("n"))
+
+
+@query("selection_surplus", "SELECT lang, count(*) AS total, count_if(quality = 1) AS kept, count_if(quality = 1 AND toxic = 0) AS selected, greatest(count_if(quality = 1) - count_if(quality = 1 AND toxic = 0), 0) AS surplus FROM documents JOIN labels USING (doc_id) GROUP BY lang")
+def selection_surplus(spark, sf):
+    t = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id")
+    kept, selected = F.count_if(F.col("quality") == 1), F.count_if((F.col("quality") == 1) & (F.col("toxic") == 0))
+    per = t.groupBy("lang").agg(F.count("*").alias("total"), kept.alias("kept"), selected.alias("selected"))
+    return per.withColumn("surplus", F.greatest(F.col("kept") - F.col("selected"), F.lit(0)).cast("long"))
+
+
 @query("dense_counts", "SELECT event_type, count_if(user_id % 3 = 0) AS a, count_if(user_id % 3 = 1) AS b, count_if(user_id % 3 = 2) AS c FROM events GROUP BY event_type")
 def dense_counts(spark, sf):
     g = F.element_at(F.array(F.lit("a"), F.lit("b"), F.lit("c")), (F.col("user_id") % 3 + 1).cast("int"))
@@ -176,7 +196,7 @@ def gate_status(spark, sf):
     return rules.gate(measured(spark, sf)).select("id", "status", bare(F.col("reject_reasons")).alias("rejects"), bare(F.col("flags")).alias("flags"))
 
 
-CANONICAL = ("empty_transcript", "clipping", "low_snr", "too_much_silence", "char_rate", "duration_out_of_range", "low_asr_conf", "near_duplicate")
+CANONICAL = ("empty_transcript", "clipping", "low_snr", "too_much_silence", "char_rate", "duration_out_of_range", "low_asr_conf", "duplicate")
 
 
 @query("gate_reasons", f"WITH {MEASURED}, c AS (SELECT unnest(rejects) AS reason FROM judged) SELECT k.reason, count(c.reason) AS n FROM (VALUES {', '.join(f"('{x}')" for x in CANONICAL)}) k(reason) LEFT JOIN c USING (reason) GROUP BY k.reason")

@@ -46,7 +46,7 @@ def qualify(segments: DataFrame, features: list[str], limits: rules.Limits = rul
     dropped = near_duplicates.greedy_kept(open_rows, "id", "transcript", "language").where("dropped").select("id", F.lit(True).alias("_twin"))
     twin = F.coalesce("_twin", F.lit(False))
     marked = gated.join(dropped, "id", "left").withColumn("status", F.when(twin, "reject").otherwise(F.col("status")))
-    return marked.withColumn("reject_reasons", F.when(twin, F.array_append("reject_reasons", F.lit("near_duplicate"))).otherwise(F.col("reject_reasons"))).drop("_twin")
+    return marked.withColumn("reject_reasons", F.when(twin, F.array_append("reject_reasons", F.lit("duplicate"))).otherwise(F.col("reject_reasons"))).drop("_twin")
 
 
 def voices(segments: DataFrame, known: dict[str, str], accents: dict[str, str]) -> DataFrame:

@@ -100,10 +100,21 @@ def test_gates_on_their_limits(spark):
     assert got[2].reject_reasons == ["empty_transcript", "clipping(0.011)", "low_snr(14.9dB)", "too_much_silence(0.46)", "duration_out_of_range", "low_asr_conf(0.59)"]
     assert got[3].status == "flag" and got[3].flags == ["music_or_noise_bed(0.50)", "lang_mismatch(hi)", "code_mixed(1.00)"]
     assert got[4].reject_reasons == ["char_rate(0.0)", "duration_out_of_range"]
-    counts = {r.reason: r.n for r in rules.reason_counts(rules.gate(spark.createDataFrame(rows, cols)), ("low_snr", "near_duplicate")).collect()}
-    assert counts["low_snr"] == 1 and counts["near_duplicate"] == 0 and counts["duration_out_of_range"] == 2
+    counts = {r.reason: r.n for r in rules.reason_counts(rules.gate(spark.createDataFrame(rows, cols)), ("low_snr", "duplicate")).collect()}
+    assert counts["low_snr"] == 1 and counts["duplicate"] == 0 and counts["duration_out_of_range"] == 2
 
 
 def test_low_confidence_is_flagged_once(spark):
     d = spark.createDataFrame([(0.5, "pass", []), (0.5, "reject", ["low_emotion_confidence"]), (None, "pass", [])], "emotion_confidence double, status string, flags array<string>")
     assert [tuple(r) for r in rules.low_confidence(d).select("status", F.size("flags")).collect()] == [("flag", 1), ("reject", 1), ("pass", 0)]
+
+
+def test_telugu_numbers_and_composed_forms(spark):
+    from quernstone.functions import numbers, text
+
+    said = spark.createDataFrame([("16 \u0c38\u0c48\u0c28\u0c3f\u0c15\u0c41\u0c32\u0c41 1,00,000 2.5 90210345", "te"), ("5 apples", "xx"), (None, "te")], "t string, lang string").select(numbers.spoken(F.col("t"), F.col("lang")).alias("s")).collect()
+    assert not any(c.isascii() and c.isalnum() for c in said[0].s) and "\u0c38\u0c48\u0c28\u0c3f\u0c15\u0c41\u0c32\u0c41" in said[0].s
+    assert said[1].s == "five apples" and said[2].s is None
+    assert numbers.telugu(100_000) == numbers.TELUGU_LARGE[1][1]
+    two = spark.createDataFrame([("Caf\u00e9!", "Cafe\u0301!")], "a string, b string").select(*[f(F.col(c)) for f in (text.comparison_form, text.recognition_form) for c in "ab"]).first()
+    assert len(set(two)) == 1

@@ -141,3 +141,9 @@ def test_copies_keep_their_links(spark):
     linked = {(a, b) for a in member for b in member if a < b and (member[a] == member[b] or (member[a], member[b]) in pairs or (member[b], member[a]) in pairs)}
     sets = {k: set(t.split()) for k, t, _ in rows}
     assert linked == {(a, b) for a in member for b in member if a < b and rows[a][2] == rows[b][2] and 10 * len(sets[a] & sets[b]) >= 9 * len(sets[a] | sets[b])}
+
+
+def test_rows_without_a_group_are_kept_and_compared(spark):
+    rows = [(1, "a b c d", None), (2, "a b c d", None), (3, "a b c d", "en"), (4, "x y", None)]
+    got = {r.k: r.dropped for r in near_duplicates.greedy_kept(spark.createDataFrame(rows, "k int, text string, lang string"), "k", "text", "lang").collect()}
+    assert got == {1: False, 2: True, 3: False, 4: False}

@@ -15,7 +15,7 @@ def test_qualify_marks_twins_among_what_gates_keep(spark):
     d = spark.createDataFrame([row("a", "the same words here", 2.0), row("b", "the same words here", 5.0), row("c", "here the same words", 5.0), row("d", "quite another text", 5.0)], cols)
     got = {r.id: r for r in workflow.qualify(d, ["f"]).collect()}
     assert [got[k].status for k in "abcd"] == ["reject", "pass", "reject", "pass"]
-    assert got["a"].reject_reasons == ["duration_out_of_range"] and got["c"].reject_reasons == ["near_duplicate"]
+    assert got["a"].reject_reasons == ["duration_out_of_range"] and got["c"].reject_reasons == ["duplicate"]
 
 
 def test_voices(spark):
