@@ -91,30 +91,30 @@ def schedule(spark, quotas: list[tuple[int, int]], chunk: int = 1 << 16) -> Data
     return spark.range(0, n, 1, max(1, min(n, 4096))).mapInArrow(places, "place long, source_no long, rank long")
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "source", F.when(F.col("text").isNull(), 0).otherwise(F.regexp_count("text", F.lit(WORD))).cast("long").alias("size"), F.xxhash64("doc_id", F.lit(11)).alias("h"))
+def sized(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    return docs.select(*carry, "doc_id", "source", F.when(F.col("text").isNull(), 0).otherwise(F.regexp_count("text", F.lit(WORD))).cast("long").alias("size"), F.xxhash64("doc_id", F.lit(11)).alias("h"))
 
 
-def laid_out(docs: DataFrame, share: float = 1.5, repeat: float = 2.0) -> tuple[DataFrame, DataFrame]:
-    """Documents with their place `start` in their source's stream, and the sources with their number and target."""
-    size = materialise(sized(docs), "mix-size").withColumn("bucket", F.pmod("h", F.lit(BUCKETS)))
+def laid_out(docs: DataFrame, share: float = 1.5, repeat: float = 2.0, carry: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """Documents with their place `start` in their source's stream, and the sources with their number and target. Columns named in `carry` stay and settle ties."""
+    size = materialise(sized(docs, carry), "mix-size").withColumn("bucket", F.pmod("h", F.lit(BUCKETS)))
     targets = materialise(source_targets(size, share, repeat).withColumn("source_no", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())).cast("long")), "mix-target")
     per = size.groupBy("source", "bucket").agg(F.sum("size").alias("s"))
     base = per.select("source", "bucket", (F.sum("s").over(Window.partitionBy("source").orderBy("bucket")) - F.col("s")).alias("base"))
-    inside = Window.partitionBy("source", "bucket").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = Window.partitionBy("source", "bucket").orderBy("h", "doc_id", "size", *carry).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     runs = size.withColumn("inside", F.sum("size").over(inside) - F.col("size"))
     a, b, t = runs.alias("a"), base.alias("b"), targets.alias("t")
     rows = a.join(b, F.expr("a.source <=> b.source and a.bucket = b.bucket")).join(t, F.expr("a.source <=> t.source"))
-    return rows.select("a.doc_id", "a.source", "t.source_no", "a.h", "a.size", "t.source_size", "t.target", (F.col("b.base") + F.col("a.inside")).alias("start")), targets
+    return rows.select(*[f"a.{c}" for c in carry], "a.doc_id", "a.source", "t.source_no", "a.h", "a.size", "t.source_size", "t.target", (F.col("b.base") + F.col("a.inside")).alias("start")), targets
 
 
-def mix(docs: DataFrame, block: int = 64, share: float = 1.5, repeat: int = 2) -> tuple[DataFrame, DataFrame, DataFrame]:
+def mix(docs: DataFrame, block: int = 64, share: float = 1.5, repeat: int = 2, carry: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(documents with sizes and targets, pieces of them in blocks, slots of the schedule).
 
     A piece is (source_no, block, doc key, epoch, first word, words); joined to the slots on (source_no, rank = block)
     it gives the mixed stream in the order of `place`.
     """
-    rows, targets = laid_out(docs, share, repeat)
+    rows, targets = laid_out(docs, share, repeat, carry)
     rows = materialise(rows, "mix-rows")
     # One row for each source: the quotas that the schedule is made of.
     quotas = [(r[0], r[1]) for r in targets.orderBy("source_no").select("source_no", F.expr(f"(cast(round(target) as long) + {block - 1}) div {block}")).toLocalIterator()]
@@ -126,7 +126,7 @@ def mix(docs: DataFrame, block: int = 64, share: float = 1.5, repeat: int = 2) -
         .withColumn("hi", F.least(F.col("lo") + F.col("size"), F.round("target").cast("long")))
         .where("lo < hi")
         .withColumn("rank", F.explode(F.sequence(F.expr(f"lo div {block}"), F.expr(f"(hi - 1) div {block}"))))
-        .select("source_no", "rank", "doc_id", "start", "epoch", (F.greatest("lo", F.col("rank") * block) - F.col("lo")).alias("first_word"), (F.least("hi", (F.col("rank") + 1) * block) - F.greatest("lo", F.col("rank") * block)).alias("words"))
+        .select(*carry, "source_no", "rank", "doc_id", "start", "size", "epoch", (F.greatest("lo", F.col("rank") * block) - F.col("lo")).alias("first_word"), (F.least("hi", (F.col("rank") + 1) * block) - F.greatest("lo", F.col("rank") * block)).alias("words"))
     )
     return rows, pieces, slots
 
@@ -147,17 +147,25 @@ def taken(docs: DataFrame, block: int = 64, share: float = 1.5, repeat: int = 2)
     return some.select(*out).union(rest.select(*out))
 
 
-def mix_documents(docs: DataFrame, share: float = 1.5, repeat: int = 2) -> DataFrame:
-    """The documents of the mix, whole, with all their columns: one row for each epoch in which the mix takes at least half of a document's words.
+def mix_documents(docs: DataFrame, block: int = 64, share: float = 1.5, repeat: int = 2) -> DataFrame:
+    """The documents of the mix, whole, with all their columns: one row for each epoch in which scheduled slots take at least half of a document's words.
 
-    A document without words is taken where its place in the stream is. Order is not part of a table; mixed_stream
-    gives the schedule.
+    Only the document at which a source's target falls can be taken in part, so a source's words are off by up to half
+    of one document. The first document of a stream is taken if slots take any of it, so that no source with a target
+    goes. A document without words has no slots: it is taken in each epoch in which its place in the stream is below
+    the target, and once if its source has no words at all. Rows with equal ids are told apart by their text. Order is
+    not part of a table; mixed_stream gives the schedule.
     """
-    rows, _ = laid_out(docs, share, repeat)
-    copies = rows.select("doc_id", F.col("h").alias("_h"), F.col("source").alias("_source"), "size", F.expr(" + ".join(f"int(start + {e} * source_size + size / 2 < target or (source_size = 0 and {e} = 0))" for e in range(repeat))).alias("copies"))
-    # Rows that agree in id, source and size sit side by side in the stream; they share their copies.
-    per = copies.groupBy("doc_id", "_source", "size").agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
-    d = docs.withColumn("__q_size", F.when(F.col("text").isNull(), 0).otherwise(F.regexp_count("text", F.lit(WORD))).cast("long")).alias("d")
-    joined = d.join(per.alias("p"), F.expr("d.doc_id <=> p.doc_id and d.source <=> p._source and d.__q_size = p.size"))
-    n = F.expr("(p._copies + p._rows - 1) div p._rows")
-    return joined.where(n > 0).withColumn("__q_epoch", F.explode(F.sequence(F.lit(1), n))).select(*[F.col(f"d.`{c}`") for c in docs.columns])
+    row = "__row"
+    while row in map(str.lower, docs.columns):
+        row += "_"
+    # written once, so that the numbers of the rows are the same wherever they are read
+    numbered = materialise(docs.withColumn(row, F.struct(F.xxhash64("text").alias("h"), F.monotonically_increasing_id().alias("n"))), "mix-docs")
+    rows, pieces, slots = mix(numbered.select("doc_id", "source", "text", row), block, share, repeat, (row,))
+    took = slots.hint("merge").join(pieces, ["source_no", "rank"]).groupBy(row, "epoch", "start", "size").agg(F.sum("words").alias("words"))
+    taken = took.where("2 * words >= size or (start = 0 and epoch = 0)").select(row)
+    wordless = " + ".join(f"int(start + {e} * source_size < target or (source_size = 0 and {e} = 0))" for e in range(repeat))
+    taken = taken.unionByName(rows.where("size = 0").select(row, F.expr(f"explode(array_repeat(0, {wordless}))").alias("_")).select(row))
+    copies = taken.groupBy(F.col(f"{row}.n").alias("n")).agg(F.count("*").cast("int").alias("copies"))
+    joined = numbered.alias("d").hint("merge").join(copies.alias("c"), F.expr(f"d.`{row}`.n = c.n"))
+    return joined.select(*[F.col(f"d.`{c}`") for c in docs.columns], F.explode(F.array_repeat(F.lit(0), F.col("c.copies"))).alias(row)).drop(row)

@@ -114,11 +114,43 @@ def test_schedule_is_a_permutation_with_even_shares(spark):
     assert np.array_equal(mixing.reverse_bits(np.arange(8), 3), [0, 4, 2, 6, 1, 5, 3, 7])
 
 
-def test_mix_documents_keeps_columns(docs):
-    out = mixing.mix_documents(docs)
+def test_mix_documents_against_a_walk_over_the_streams(docs):
+    out = mixing.mix_documents(docs, block=16)
     assert out.columns == docs.columns
-    n = Counter(r.doc_id for r in out.select("doc_id").collect())
-    assert max(v for k, v in n.items() if k != 500) <= 2
+    got = Counter((r.doc_id, r.text, r.source) for r in out.select("doc_id", "text", "source").collect())
+    place = docs.select("doc_id", "text", "source", F.xxhash64("doc_id", F.lit(11)).alias("o"), F.xxhash64("text").alias("t")).collect()
+    sizes = Counter()
+    for r in place:
+        sizes[r.source] += len(words(r.text))
+    expected, target = Counter(), brute_targets(sizes)
+    for s in sizes:
+        end, at = round(target[s]), 0
+        stream = sorted((r for r in place if r.source == s), key=lambda r: (r.o % 256, r.o, len(words(r.text)), r.t))
+        for epoch in range(2):
+            first = True
+            for r in stream:
+                n = len(words(r.text))
+                took = max(0, min(at + n, end) - at)
+                if (2 * took >= n or (first and epoch == 0 and took)) if n else (at < target[s] or (sizes[s] == 0 and epoch == 0)):
+                    expected[r.doc_id, r.text, r.source] += 1
+                first = first and not n
+                at += n
+    assert got == expected
+
+
+def test_mix_documents_keeps_a_source_of_one_long_document(spark):
+    data = [(1, "a " * 5000, "x"), (2, "b " * 500, "y"), (3, "c " * 40000, "z")]
+    out = mixing.mix_documents(frame(spark, data))
+    assert {r.source for r in out.collect()} == {"x", "y", "z"}
+
+
+def test_mix_documents_tells_rows_of_one_id_apart(spark):
+    data = [(7, f"w{k} " * 50, "x") for k in range(40)] + [(8, "b " * 4000, "y")]
+    d = frame(spark, data, clash=False).withColumn("__ROW", F.lit(1))
+    out = mixing.mix_documents(d, share=0.5)
+    assert out.columns == d.columns
+    n = Counter(r.text for r in out.where("source = 'x'").collect())
+    assert max(n.values()) <= 2
 
 
 # --- toxicity ------------------------------------------------------------------------------------------------------
