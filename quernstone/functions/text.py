@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 import unicodedata
 
 import pandas as pd
@@ -226,3 +228,77 @@ def unit(v: Column) -> Column:
 
 def euclidean(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
     return F.sqrt(F.pow(x1 - x2, 2) + F.pow(y1 - y2, 2))
+
+
+def first_object(text: str) -> str | None:
+    """The first stretch between matching braces that is JSON."""
+    depth = begin = 0
+    for brace in re.finditer("[{}]", text):
+        if brace[0] == "{":
+            begin = begin if depth else brace.start()
+            depth += 1
+        elif depth:
+            depth -= 1
+            if not depth:
+                try:
+                    json.loads(text[begin : brace.end()])
+                except ValueError:
+                    continue
+                return text[begin : brace.end()]
+    return None
+
+
+@F.pandas_udf(StringType())
+def _first_object(text: pd.Series) -> pd.Series:
+    return text.map(first_object, na_action="ignore")
+
+
+def extracted_json(answer: Column) -> Column:
+    """The JSON text in a model's answer: without a code fence around it, else the first object in the prose; null if there is none.
+
+    Only answers that aren't JSON as they are, and have a brace, go to Python.
+    """
+    bare = F.trim(F.regexp_replace(F.trim(F.regexp_replace(collapsed_ends(answer), "^```(json)?", "")), "```$", ""))
+    plain = F.try_parse_json(bare).isNotNull()
+    return F.when(plain, bare).when(bare.contains("{"), _first_object(F.when(~plain & bare.contains("{"), bare)))
+
+
+def collapsed_ends(text: Column) -> Column:
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+
+
+def judgement(found: Column, topics: tuple[str, ...]) -> Column:
+    """A judge's JSON as a struct with every field in range; null if there is no JSON."""
+    raw = lambda name: F.get_json_object(found, f"$.{name}")
+    kind = lambda name: F.schema_of_variant(F.try_variant_get(F.try_parse_json(found), f"$.{name}", "variant"))
+    # what is there and neither false, zero nor empty; the text "false" is there
+    holds = lambda name: F.coalesce(F.when(kind(name) == "BOOLEAN", raw(name) == "true").otherwise(~raw(name).isin("", "0", "0.0", "[]", "{}")), F.lit(False))
+    number = F.coalesce(raw("tts_suitable").try_cast("double"), F.lit(0.0))
+    whole = F.struct(
+        checked_label(F.coalesce(raw("topic_category"), F.lit("other")), topics, "other").alias("topic_category"),
+        F.substring(F.coalesce(raw("topic"), F.lit("")), 1, 60).alias("topic"),
+        F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), number)), 2).alias("tts_suitable"),
+        holds("transcript_clean").alias("transcript_clean"),
+        holds("emotion_supported").alias("emotion_supported"),
+        F.substring(F.coalesce(raw("issue"), F.lit("")), 1, 80).alias("issue"),
+    )
+    return F.when(found.isNotNull(), whole)
+
+
+def phoneme(token: Column) -> Column:
+    """A phoneme without its stress digits; null if it isn't all letters."""
+    base = F.regexp_replace(token, "[0-9]", "")
+    return F.when(base.rlike(r"^\p{L}+$"), base)
+
+
+def first_present(scores: Column, names: tuple[str, ...]) -> Column:
+    """The first of several names that a map of scores has; NaN if it has none."""
+    out = F.lit(float("nan"))
+    for name in reversed(names):
+        out = F.when(F.map_contains_key(scores, name), scores[name].cast("double")).otherwise(out)
+    return out
+
+
+def probed_seconds(said: Column) -> Column:
+    """A probe's answer as seconds; 0 where it can't be read."""
+    return F.coalesce(F.trim(said).try_cast("double"), F.lit(0.0))

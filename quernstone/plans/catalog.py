@@ -133,7 +133,7 @@ def language_means(spark, sf):
     return t.groupBy("lang").agg(F.round(F.avg("quality"), 6).alias("quality"), F.round(F.avg("toxic"), 6).alias("toxic"), F.count("*").alias("n"))
 
 
-@query("selection_surplus", "SELECT lang, count(*) AS total, count_if(quality = 1) AS kept, count_if(quality = 1 AND toxic = 0) AS selected, greatest(count_if(quality = 1) - count_if(quality = 1 AND toxic = 0), 0) AS surplus FROM documents JOIN labels USING (doc_id) GROUP BY lang")
+@query("selection_surplus", "SELECT lang, count(*) AS total, count_if(quality = 1)::BIGINT AS kept, count_if(quality = 1 AND toxic = 0)::BIGINT AS selected, greatest(count_if(quality = 1) - count_if(quality = 1 AND toxic = 0), 0) AS surplus FROM documents JOIN labels USING (doc_id) GROUP BY lang")
 def selection_surplus(spark, sf):
     t = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id")
     kept, selected = F.count_if(F.col("quality") == 1), F.count_if((F.col("quality") == 1) & (F.col("toxic") == 0))
@@ -141,7 +141,7 @@ def selection_surplus(spark, sf):
     return per.withColumn("surplus", F.greatest(F.col("kept") - F.col("selected"), F.lit(0)).cast("long"))
 
 
-@query("dense_counts", "SELECT event_type, count_if(user_id % 3 = 0) AS a, count_if(user_id % 3 = 1) AS b, count_if(user_id % 3 = 2) AS c FROM events GROUP BY event_type")
+@query("dense_counts", "SELECT event_type, count_if(user_id % 3 = 0)::BIGINT AS a, count_if(user_id % 3 = 1)::BIGINT AS b, count_if(user_id % 3 = 2)::BIGINT AS c FROM events GROUP BY event_type")
 def dense_counts(spark, sf):
     g = F.element_at(F.array(F.lit("a"), F.lit("b"), F.lit("c")), (F.col("user_id") % 3 + 1).cast("int"))
     return table(spark, sf, "events").withColumn("g", g).groupBy("event_type").pivot("g", ["a", "b", "c"]).count().na.fill(0)
@@ -204,13 +204,13 @@ def gate_reasons(spark, sf):
     return rules.reason_counts(rules.gate(measured(spark, sf)), CANONICAL)
 
 
-@query("funnel", f"WITH {MEASURED} SELECT count(*) AS candidates, count_if(status <> 'reject') AS kept, count_if(status = 'reject') AS rejected FROM judged")
+@query("funnel", f"WITH {MEASURED} SELECT count(*) AS candidates, count_if(status <> 'reject')::BIGINT AS kept, count_if(status = 'reject')::BIGINT AS rejected FROM judged")
 def funnel(spark, sf):
     s = rules.gate(measured(spark, sf))
     return s.agg(F.count("*").alias("candidates"), F.count_if(F.col("status") != "reject").alias("kept"), F.count_if(F.col("status") == "reject").alias("rejected"))
 
 
-@query("gate_ablation", f"WITH {MEASURED} SELECT language, count(*) AS n_all, count_if(status <> 'reject') AS n_kept, round(median(snr_db), 4) AS all_median, round(median(CASE WHEN status <> 'reject' THEN snr_db END), 4) AS kept_median FROM judged GROUP BY language")
+@query("gate_ablation", f"WITH {MEASURED} SELECT language, count(*) AS n_all, count_if(status <> 'reject')::BIGINT AS n_kept, round(median(snr_db), 4) AS all_median, round(median(CASE WHEN status <> 'reject' THEN snr_db END), 4) AS kept_median FROM judged GROUP BY language")
 def gate_ablation(spark, sf):
     s = rules.gate(measured(spark, sf))
     ok = F.col("status") != "reject"
