@@ -296,7 +296,23 @@ def partly_repeated(contexts: DataFrame, length: int, salt_at: int) -> DataFrame
 
     keyed = found.where("keys is not null").select("range", "keys", "anchors", "contexts", "starts")
     merged = keyed.groupBy("range").applyInArrow(across, PART)
-    return found.where("keys is null").select("anchor", "context", "lo", "hi").unionByName(merged)
+    return islands(found.where("keys is null").select("anchor", "context", "lo", "hi").unionByName(merged))
+
+
+def islands(windows: DataFrame) -> DataFrame:
+    """(anchor, context, lo, hi): ranges that touch or overlap, as one. A context has no more windows than an anchor reaches, so its list is short."""
+    joined_up = """aggregate(array_sort(collect_set(struct(lo, hi))), cast(array() as array<struct<lo: int, hi: int>>), (done, x) ->
+        case when size(done) = 0 or x.lo > element_at(done, -1).hi + 1 then array_append(done, x)
+        else array_append(slice(done, 1, size(done) - 1), named_struct('lo', element_at(done, -1).lo, 'hi', greatest(element_at(done, -1).hi, x.hi))) end)"""
+    return windows.groupBy("anchor", "context").agg(F.expr(joined_up).alias("spans")).selectExpr("anchor", "context", "inline(spans)")
+
+
+def removed_runs(cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the maximal removed runs begin and end, of spans packed as start * 2**32 + end."""
+    cuts = np.sort(cuts)
+    start, reach = cuts >> 32, np.maximum.accumulate(cuts & 0xFFFFFFFF)
+    apart = start[1:] > reach[:-1]
+    return start[np.concatenate(([True], apart))[: len(cuts)]], reach[np.concatenate((apart, [True]))[: len(cuts)]]
 
 
 def contexts_of(docs: DataFrame, at: DataFrame, length: int) -> DataFrame:
@@ -326,26 +342,16 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, salt_at: int
     partly = partly_repeated(texts, length, salt_at)
     whole = hits.where("n > 1").select("doc_id", "h", "s", (F.col("s") + F.col("more") + length).alias("e"))
     part = hits.where("n = 1").join(partly, ["anchor", "context"]).select("doc_id", "h", (F.col("s") + F.col("lo")).alias("s"), (F.col("s") + F.col("hi") + length).alias("e"))
-    cuts = whole.unionByName(part).distinct().groupBy("doc_id", "h").agg(F.collect_list(F.struct("s", "e")).alias("cuts"))  # no more than a text has windows
+    packed = (F.shiftleft(F.col("s").cast("long"), 32) + F.col("e")).alias("cut")
+    cuts = whole.unionByName(part).select("doc_id", "h", packed).distinct().groupBy("doc_id", "h").agg(F.collect_list("cut").alias("cuts"))  # no more than a text has windows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in doc_chunks(batches, "text", 1 << 20):
             rows = []
-            for doc_id, text, cuts in zip(batch.column("doc_id").to_pylist(), texts_of(batch, "text"), batch.column("cuts").to_pylist(), strict=True):
-                kept, end, removed, spans = [], 0, 0, 0
-                last = None
-                for s, e in sorted((c["s"], c["e"]) for c in cuts or ()):
-                    if last is None or s > last:
-                        kept.append(text[end:s])
-                        spans += 1
-                        removed += e - s
-                        last = end = e
-                    elif e > last:
-                        removed += e - last
-                        last = end = e
-                kept.append(text[end:])
-                left = b"".join(kept)
-                rows.append((doc_id, len(text), removed, spans, hashlib.sha256(left).hexdigest(), left if keep_text else None))
+            for doc_id, text, cuts in zip(batch.column("doc_id").to_pylist(), texts_of(batch, "text"), batch.column("cuts"), strict=True):
+                begin, end = removed_runs(cuts.values.to_numpy() if cuts.is_valid else np.zeros(0, np.int64))
+                left = b"".join(text[a:b] for a, b in zip([0, *end.tolist()], [*begin.tolist(), len(text)], strict=True))
+                rows.append((doc_id, len(text), len(text) - len(left), len(begin), hashlib.sha256(left).hexdigest(), left if keep_text else None))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64()] * 4 + [pa.string(), pa.binary()], strict=True)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"])
 
     wide = named.alias("d").hint("merge").join(cuts.alias("c"), F.expr("d.h <=> c.h and d.doc_id <=> c.doc_id"), "left").select("d.doc_id", "d.text", "c.cuts")

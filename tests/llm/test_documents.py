@@ -325,6 +325,26 @@ def test_substrings_empty(none):
     assert substrings.dedup(none).collect() == []
 
 
+def test_removed_runs_join_spans_that_touch_or_overlap(spark):
+    import numpy as np
+
+    def brute(spans):
+        covered = sorted({k for a, b in spans for k in range(a, b)})
+        first = [k for k in covered if k - 1 not in covered]
+        return [(a, next(k + 1 for k in covered if k >= a and k + 1 not in covered)) for a in first]
+
+    rng = random.Random(5)
+    windows, expected = [], {}
+    for c in range(60):
+        spans = [(a, a + rng.randint(1, 6)) for a in (rng.randint(0, 90) for _ in range(rng.randint(0, 25)))]
+        begin, end = substrings.removed_runs(np.array([a << 32 | b for a, b in spans], np.int64))
+        assert list(zip(begin.tolist(), end.tolist(), strict=True)) == brute(spans)
+        windows += [(7, c, a, b - 1) for a, b in spans]
+        expected[c] = brute(spans)
+    got = substrings.islands(spark.createDataFrame(windows, "anchor long, context long, lo int, hi int")).collect()
+    assert Counter((r.context, (r.lo, r.hi + 1)) for r in got) == Counter((c, x) for c, spans in expected.items() for x in spans)
+
+
 def test_suffix_array_and_common_prefixes():
     import numpy as np
 
