@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fertility, jaccard, lines, mixing, neighbours, pieces, sharding, substrings, toxicity, url_reputation
+from . import fertility, jaccard, lines, merkle, mixing, neighbours, pieces, sharding, substrings, toxicity, url_reputation
 from .common import documents
 
 
@@ -51,9 +51,13 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(documents(spark, sf_dir))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(documents(spark, sf_dir))
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filters": url_reputation.oracle()}
+    return {"op2_url_filters": url_reputation.oracle(), "op11_merkle_manifest": merkle.oracle()}
