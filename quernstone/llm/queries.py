@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fertility, jaccard, lines, merkle, mixing, neighbours, pieces, sharding, substrings, toxicity, url_reputation
+from . import collocations, fertility, jaccard, lines, merkle, mixing, neighbours, pieces, sharding, style_tree, substrings, toxicity, url_reputation
 from .common import documents
 
 
@@ -55,9 +55,17 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(documents(spark, sf_dir))
 
 
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return style_tree.extract(documents(spark, sf_dir, "pages"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filters": url_reputation.oracle(), "op11_merkle_manifest": merkle.oracle()}
+    return {"op2_url_filters": url_reputation.oracle(), "op11_merkle_manifest": merkle.oracle(), "op12_html_extraction": style_tree.oracle(), "op13_collocations": collocations.oracle()}
