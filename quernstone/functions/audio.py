@@ -14,6 +14,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from quernstone.functions.loudness import loudness
+from quernstone.functions.resampling import resample
+
 EPS = 1e-10
 
 
@@ -41,20 +44,6 @@ def write_wav(y: np.ndarray, rate: int) -> bytes:
     return out.getvalue()
 
 
-def resample(y: np.ndarray, rate: int, to: int = 16000) -> np.ndarray:
-    """Band-limited resampling by a windowed sinc; the result stays within -1 and 1."""
-    if rate == to or not y.size:
-        return y.astype(np.float32)
-    n = int(round(y.size * to / rate))
-    cut, half = min(1.0, to / rate), 32
-    at = np.arange(n) * rate / to
-    k = np.floor(at).astype(int)[:, None] + np.arange(-half + 1, half + 1)[None, :]
-    d = at[:, None] - k
-    taps = cut * np.sinc(cut * d) * (0.5 + 0.5 * np.cos(np.pi * np.clip(d / half, -1, 1)))
-    inside = (k >= 0) & (k < y.size)
-    return np.clip((np.where(inside, y[np.clip(k, 0, y.size - 1)], 0.0) * taps).sum(axis=1), -1, 1).astype(np.float32)
-
-
 def frame_levels(y: np.ndarray, frame: int, hop: int) -> np.ndarray:
     """Root mean squares of centred frames (zeros beyond the ends)."""
     padded = np.concatenate((np.zeros(frame // 2), y.astype(np.float64), np.zeros(frame // 2)))
@@ -157,24 +146,24 @@ def peak_normalize(y: np.ndarray, dbfs: float = -1.0) -> np.ndarray:
     return y if peak < EPS else (y * (10 ** (dbfs / 20) / peak)).astype(np.float32)
 
 
-def loudness_normalize(y: np.ndarray, rate: int, target_db: float = -20.0, ceiling_dbfs: float = -1.0) -> np.ndarray:
-    """Gain to a gated mean level, guarded by a peak ceiling; under 0.4 s, or in silence, to the peak alone.
-
-    The level is that of 400 ms blocks over -70 dB and within 10 dB of their mean, without the ear's weighting filter.
-    """
-    block = int(0.4 * rate)
-    if y.size < block:
+def loudness_normalize(y: np.ndarray, rate: int, target_lufs: float = -20.0, ceiling_dbfs: float = -1.0) -> np.ndarray:
+    """Gain to a loudness, guarded by a peak ceiling; under 0.4 s, or without a loudness, to the peak alone."""
+    level = loudness(y, rate)
+    if not np.isfinite(level):
         return peak_normalize(y, ceiling_dbfs)
-    power = frame_levels(y, block, max(1, block // 4)) ** 2
-    power = power[10 * np.log10(power + EPS) > -70]
-    if not len(power):
-        return peak_normalize(y, ceiling_dbfs)
-    power = power[power >= power.mean() / 10]
-    y = y * 10 ** ((target_db - 10 * np.log10(power.mean())) / 20)
+    y = y * 10 ** ((target_lufs - level) / 20)
     peak, ceiling = peak_level(y), 10 ** (ceiling_dbfs / 20)
     return (y * (ceiling / peak) if peak > ceiling else y).astype(np.float32)
 
 
+def finalized(y: np.ndarray, rate: int, to: int, mode: str = "loudness", target_lufs: float = -20.0, peak_dbfs: float = -1.0) -> np.ndarray:
+    """A clip as it is published: at the rate `to`, and brought to a loudness, to a peak, or (any other mode) left as it is."""
+    y = resample(y, rate, to)
+    if mode == "loudness":
+        return loudness_normalize(y, to, target_lufs, peak_dbfs)
+    return peak_normalize(y, peak_dbfs) if mode == "peak" else y
+
+
 def pitch(y: np.ndarray, rate: int, low: float = 65.0, high: float = 500.0) -> np.ndarray:
     """Fundamental frequency of 40 ms frames by autocorrelation; 0 where a frame isn't voiced."""
     size, hop = int(0.04 * rate), int(0.01 * rate)

@@ -40,12 +40,35 @@ def review_merge(segments: DataFrame, decisions: DataFrame) -> DataFrame:
     return rows.select("id", *[out[c].alias(c) if c in out else F.col(f"s.{c}") for c in segments.columns if c != "id"])
 
 
-def overlapping_text(clips: DataFrame, chunks: DataFrame, key: str) -> DataFrame:
-    """clips (key, clip_start, clip_end) with the texts of the chunks (key, start, end, text) that overlap them, in order, joined by blanks."""
-    c, k = clips.alias("c"), chunks.where(F.trim("text") != "").alias("k")
-    met = c.join(k, F.expr(f"c.{key} = k.{key} and k.start < c.clip_end and k.end > c.clip_start"), "left")
-    texts = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("k.text").isNotNull(), F.struct(F.col("k.start"), F.col("k.text"))))), lambda x: x["text"]), " ")
-    return met.groupBy(*[F.col(f"c.{x}") for x in clips.columns]).agg(texts.alias("text"))
+def overlapping(left: DataFrame, right: DataFrame, key: str, width: float = 30.0) -> DataFrame:
+    """All pairs of rows of one key whose intervals (left_start, left_end), (right_start, right_end) overlap, touching ones not.
+
+    Either side is dealt to the stretches of `width` seconds that it reaches into, so rows meet by (key, stretch) and a
+    key with most rows is spread over its time; a pair counts in the first stretch that both reach into. Turned
+    intervals count from their lower end; null or endless times meet nothing.
+    """
+
+    def dealt(rows: DataFrame, side: str) -> DataFrame:
+        low, high = (f(F.col(f"{side}_start"), F.col(f"{side}_end")) for f in (F.least, F.greatest))
+        timed = rows.where((F.abs(f"{side}_start") < 1e15) & (F.abs(f"{side}_end") < 1e15))
+        first = F.floor(low / width)
+        return timed.withColumn(f"_{side}", first).withColumn("_stretch", F.explode(F.sequence(first, F.floor(high / width))))
+
+    met = dealt(left, "left").join(dealt(right, "right"), [key, "_stretch"])
+    return met.where("left_end > right_start and right_end > left_start and _stretch = greatest(_left, _right)").drop("_stretch", "_left", "_right")
+
+
+def overlapping_text(clips: DataFrame, chunks: DataFrame, key: str, width: float = 30.0) -> DataFrame:
+    """clips (key, clip_start, clip_end) with the texts of the chunks (key, start, end, text) that overlap them, in order, joined by blanks; equal clips are one."""
+    names = [c for c in clips.columns if c not in (key, "clip_start", "clip_end")]
+    left = clips.select(F.col(key), F.col("clip_start").alias("left_start"), F.col("clip_end").alias("left_end"), F.struct(F.lit(0).alias("_"), *names).alias("more"))
+    right = chunks.where(F.trim("text") != "").select(F.col(key), F.col("start").alias("right_start"), F.col("end").alias("right_end"), "text")
+    met = overlapping(left, right, key, width).select(key, "left_start", "left_end", "more", F.struct(F.col("right_start").alias("start"), "text").alias("said"))
+    every = left.withColumn("said", F.lit(None).cast(met.schema["said"].dataType)).unionByName(met)
+    texts = F.array_join(F.transform(F.array_sort(F.collect_list("said")), lambda x: x["text"]), " ")
+    whole = every.groupBy(key, "left_start", "left_end", "more").agg(texts.alias("text"))
+    of = {"clip_start": "left_start", "clip_end": "left_end", key: key} | {c: f"more.{c}" for c in names}
+    return whole.select(*[F.col(of[c]).alias(c) for c in clips.columns], "text")
 
 
 def with_lookup(rows: DataFrame, table: DataFrame, key: str, defaults: dict[str, str]) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quernstone.functions import text as T
+from quernstone.operators.ranking import running
 
 
 def entropy(counts: DataFrame, by: list[str], n: str = "n", digits: int = 3) -> DataFrame:
@@ -85,15 +86,33 @@ def nearest_centroid(vectors: DataFrame, key: str, vector: str, c: DataFrame, by
     return met.groupBy(key).agg(F.min_by("name", F.struct(-F.col("cosine"), "name")).alias("nearest"), F.max("cosine").alias("cosine"))
 
 
-def roc_auc(scored: DataFrame, score: str, label: str) -> DataFrame:
-    """(n_pos, n_neg, auc) by rank sums with average ranks; null with one class only.
+def window_cohesion(windows: DataFrame, clip: str, vector: str, below: float = 0.55) -> DataFrame:
+    """(clip, windows, cohesion, overlap): the mean cosine of all pairs of a clip's window vectors, and whether it hints at a second voice.
 
-    Ranks come from counts of each distinct score, so what is ordered in one task are distinct scores.
+    From sums: with unit vectors u, (|sum u|^2 - sum |u|^2) / (n (n - 1)). A clip of one window has a null cohesion and no
+    overlap. A clip's windows meet in one row, as many as its seconds; null vectors don't count, and vectors are of one length.
     """
-    per = scored.where(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(score).agg(F.sum(F.col(label).cast("long")).alias("p"), F.count("*").alias("n"))
-    w = Window.orderBy(score)
-    below = F.sum("n").over(w) - F.col("n")
-    ranked = per.withColumn("r", below + (F.col("n") + 1) / 2)
+    v = F.transform(vector, lambda x: x.cast("double"))
+    norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
+    units = windows.where(F.col(vector).isNotNull()).select(clip, F.transform(v, lambda x: x / (norm + 1e-9)).alias("u"))
+    per = units.groupBy(clip).agg(F.collect_list("u").alias("u"))
+    total = F.aggregate(F.slice("u", F.lit(2), F.size("u")), F.get("u", F.lit(0)), lambda a, x: F.zip_with(a, x, lambda p, q: p + q))
+    square = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x * x)
+    n = F.size("u")
+    mean = (square(total) - F.aggregate("u", F.lit(0.0), lambda s, x: s + square(x))) / (n * (n - 1))
+    out = per.select(clip, n.cast("long").alias("windows"), F.when(n >= 2, F.round(mean, 6)).alias("cohesion"))
+    return out.withColumn("overlap", F.coalesce(F.col("cohesion") < below, F.lit(False)))
+
+
+def per_score(scored: DataFrame, score: str, label: str) -> DataFrame:
+    """(score, p, n): of each distinct score the rows with label 1, and all."""
+    return scored.where(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(score).agg(F.sum(F.col(label).cast("long")).alias("p"), F.count("*").alias("n"))
+
+
+def roc_auc(scored: DataFrame, score: str, label: str) -> DataFrame:
+    """(n_pos, n_neg, auc) by rank sums with average ranks; null with one class only. Ranks are running counts over ranges of scores."""
+    per = running(per_score(scored, score, label), [], [F.col(score)], {"below": F.col("n")})
+    ranked = per.withColumn("r", F.col("below") + (F.col("n") + 1) / 2)
     t = ranked.agg(F.sum("p").alias("n_pos"), F.sum(F.col("n") - F.col("p")).alias("n_neg"), F.sum(F.col("r") * F.col("p")).alias("s"))
     auc = F.try_divide(F.col("s") - F.col("n_pos") * (F.col("n_pos") + 1) / 2, F.nullif(F.col("n_pos") * F.col("n_neg"), F.lit(0)))
     return t.select("n_pos", "n_neg", F.round(auc, 6).alias("auc"))
@@ -101,11 +120,9 @@ def roc_auc(scored: DataFrame, score: str, label: str) -> DataFrame:
 
 def equal_error(scored: DataFrame, score: str, label: str) -> DataFrame:
     """(eer, threshold): where missed and false accepts are closest over all thresholds (accept from the threshold up); ties to the higher one."""
-    per = scored.where(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(score).agg(F.sum(F.col(label).cast("long")).alias("p"), F.count("*").alias("n"))
-    down = Window.orderBy(F.col(score).desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    every = Window.partitionBy()
-    tpr = F.try_divide(F.sum("p").over(down), F.sum("p").over(every))
-    fpr = F.try_divide(F.sum(F.col("n") - F.col("p")).over(down), F.sum(F.col("n") - F.col("p")).over(every))
+    per = running(per_score(scored, score, label), [], [F.col(score).desc()], {"tp": F.col("p"), "fp": F.col("n") - F.col("p")}, {"all_p": "tp", "all_n": "fp"})
+    tpr = F.try_divide(F.col("tp") + F.col("p"), F.col("all_p"))
+    fpr = F.try_divide(F.col("fp") + F.col("n") - F.col("p"), F.col("all_n"))
     at = per.withColumn("fnr", 1 - tpr).withColumn("fpr", fpr).withColumn("gap", F.round(F.abs(F.col("fnr") - F.col("fpr")), 9))
     best = at.agg(F.min_by(F.struct("fnr", "fpr", F.col(score).alias("t")), F.struct("gap", -F.col(score))).alias("m"))
     return best.select(F.round((F.col("m.fnr") + F.col("m.fpr")) / 2, 6).alias("eer"), F.round("m.t", 6).alias("threshold"))

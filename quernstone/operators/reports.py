@@ -69,20 +69,6 @@ def three_raters(kept: DataFrame, second: DataFrame, third: DataFrame, key: str,
     return both.where(known("a")).select(key, "a", F.when(known("b"), F.col("b")).otherwise(default).alias("b"), F.when(known("c"), F.col("c")).alias("c"))
 
 
-def trial_pairs(voices: DataFrame, key: str, speaker: str, buckets: int = 256) -> DataFrame:
-    """(a, b, same): verification trials, at most one of either kind for each row and not the square of a speaker's rows.
-
-    Rows are shuffled by the MD5 of their key and dealt to buckets by its first byte; each meets the next row of its
-    speaker in the bucket, and the next row of all if that is another speaker's. Null speakers take no part.
-    """
-    order = F.md5(F.col(key).cast("string"))
-    v = voices.where(F.col(speaker).isNotNull()).select(F.col(key).alias("a"), F.col(speaker).alias("s"), order.alias("o"), (F.conv(F.substring(order, 1, 2), 16, 10).cast("int") % buckets).alias("k"))
-    own = v.withColumn("b", F.lead("a").over(Window.partitionBy("k", "s").orderBy("o", "a"))).withColumn("same", F.lit(True))
-    row = Window.partitionBy("k").orderBy("o", "a")
-    other = v.withColumn("b", F.when(F.lead("s").over(row) != F.col("s"), F.lead("a").over(row))).withColumn("same", F.lit(False))
-    return own.unionByName(other).where("b is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "same")
-
-
 def agreement_by(rated: DataFrame, by: str, a: Column, b: Column) -> DataFrame:
     """Percent of rows on which both raters agree, by group and over all ('all'); rows that a rater left out don't count."""
     both = rated.where(a.isNotNull() & b.isNotNull())

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quernstone.operators.ranking import fresh, positions, running
+
 
 def runs(intervals: DataFrame, keys: list[str], start: str, end: str, gap: float) -> DataFrame:
     """(keys, run_start, run_end, n): intervals of a key joined while the next starts at most `gap` after the furthest end so far; empty runs go."""
@@ -75,14 +77,15 @@ def balanced(rows: DataFrame, by: str, bucket: str, amount: str, target: float,
     """The rows of each `by` that round-robin over its buckets takes until `amount` reaches the target, the row that crosses it included.
 
     Buckets are visited from the smallest on, ties by which appears first; where all rows don't reach the target all are taken.
+    Places and sums are taken in ranges of the order, so a `by` or bucket with most rows is spread.
     """
-    every = Window.partitionBy(by)
-    ranked = rows.withColumn("_at", F.row_number().over(Window.partitionBy(by).orderBy(*order)))
-    inside = Window.partitionBy(by, bucket)
-    ranked = ranked.withColumn("_round", F.row_number().over(inside.orderBy("_at"))).withColumn("_size", F.count("*").over(inside)).withColumn("_first", F.min("_at").over(inside))
-    so_far = F.sum(amount).over(Window.partitionBy(by).orderBy("_round", "_size", "_first").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = ranked.withColumn("_before", so_far - F.col(amount)).withColumn("_all", F.sum(amount).over(every))
-    return ranked.where((F.col("_all") <= target) | (F.col("_before") < target)).drop("_at", "_round", "_size", "_first", "_before", "_all")
+    placed = positions(rows, [by, bucket], order, "_round", "_size")
+    # one row for each bucket: which of a `by` appears first
+    of, at = fresh(placed, "__by"), fresh(placed, "__bucket")
+    firsts = placed.where("_round = 0").withColumn("_first", F.row_number().over(Window.partitionBy(by).orderBy(*order))).select(F.col(by).alias(of), F.col(bucket).alias(at), "_first")
+    met = placed.join(firsts, F.col(by).eqNullSafe(F.col(of)) & F.col(bucket).eqNullSafe(F.col(at))).drop(of, at)
+    summed = running(met, [by], [F.col("_round"), F.col("_size"), F.col("_first")], {"_before": F.col(amount)}, {"_all": "_before"})
+    return summed.where((F.col("_all") <= target) | (F.col("_before") < target)).drop("_round", "_size", "_first", "_before", "_all")
 
 
 def split3(rows: DataFrame, by: list[str], fraction: float, order: list[Column]) -> DataFrame:
@@ -90,35 +93,29 @@ def split3(rows: DataFrame, by: list[str], fraction: float, order: list[Column])
     if fraction <= 0:
         return rows.withColumn("split", F.lit("train"))
     k = max(3, round(1 / fraction))
-    i = (F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1) % k
-    return rows.withColumn("split", F.when(i == 0, "test").when(i == 1, "validation").otherwise("train"))
+    i = F.col("_i") % k
+    return positions(rows, by, order, "_i").withColumn("split", F.when(i == 0, "test").when(i == 1, "validation").otherwise("train")).drop("_i")
 
 
 def stride_a(rows: DataFrame, by: list[str], n: int, order: list[Column]) -> DataFrame:
     """ordered[::k][:n] of each group, k = max(1, size div n)."""
-    i = F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1
-    k = F.greatest(F.lit(1), F.expr(f"count(1) over (partition by {', '.join(by)}) div {n}"))
-    return rows.withColumn("_i", i).withColumn("_k", k).where((F.col("_i") % F.col("_k") == 0) & (F.col("_i") / F.col("_k") < n)).drop("_i", "_k")
+    k = F.greatest(F.lit(1), F.expr(f"_n div {n}"))
+    return positions(rows, by, order, "_i", "_n").where((F.col("_i") % k == 0) & (F.col("_i") / k < n)).drop("_i", "_n")
 
 
 def stride_b(rows: DataFrame, by: list[str], n: int, order: list[Column]) -> DataFrame:
     """Rows int(i * size / n) for i < n of each group; all of a group of n or fewer."""
-    i = F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1
-    size = F.count("*").over(Window.partitionBy(*by))
     # row r is taken if some i has floor(i * size / n) = r
-    r = rows.withColumn("_r", i.cast("long")).withColumn("_c", size)
+    r = positions(rows, by, order, "_r", "_c")
     hit = F.expr(f"((_r * {n} + _c - 1) div _c) * _c div {n}") == F.col("_r")
     return r.where((F.col("_c") <= n) | (hit & (F.expr(f"(_r * {n} + _c - 1) div _c") < n))).drop("_r", "_c")
 
 
 def low_mid_high(rows: DataFrame, by: list[str], order: list[Column], k: int = 3) -> DataFrame:
     """Adds band: the first k, k around the middle, the last k of each group; a row may be in several."""
-    i = F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1
-    n = F.count("*").over(Window.partitionBy(*by))
-    marked = rows.withColumn("_i", i).withColumn("_n", n)
     mid = F.expr("_n div 2")
     bands = F.filter(F.array(F.when(F.col("_i") < k, "low"), F.when(F.col("_i").between(mid - 1, mid + k - 2), "mid"), F.when(F.col("_i") >= F.col("_n") - k, "high")), lambda x: x.isNotNull())
-    return marked.withColumn("band", F.explode(bands)).drop("_i", "_n")
+    return positions(rows, by, order, "_i", "_n").withColumn("band", F.explode(bands)).drop("_i", "_n")
 
 
 def first_per_key(rows: DataFrame, key: Column, order: list[Column]) -> DataFrame:
@@ -127,8 +124,7 @@ def first_per_key(rows: DataFrame, key: Column, order: list[Column]) -> DataFram
 
 def numbered_ids(rows: DataFrame, by: str, order: list[Column], name: str = "id") -> DataFrame:
     """Adds ids like source_0007: a running number for each source."""
-    i = F.row_number().over(Window.partitionBy(by).orderBy(*order)) - 1
-    return rows.withColumn(name, F.format_string("%s_%04d", F.col(by).cast("string"), i))
+    return positions(rows, [by], order, "_i").withColumn(name, F.format_string("%s_%04d", F.col(by).cast("string"), F.col("_i"))).drop("_i")
 
 
 def trim_window(offset: Column, end_trim: Column, duration: Column, max_minutes: Column) -> tuple[Column, Column]:
@@ -137,3 +133,10 @@ def trim_window(offset: Column, end_trim: Column, duration: Column, max_minutes:
     end = F.greatest(start, duration - F.coalesce(end_trim, F.lit(0.0)))
     cap = F.nullif(max_minutes, F.lit(0.0)) * 60
     return start, F.least(end - start, F.coalesce(cap, end - start))
+
+
+def sample_windows(clips: DataFrame, samples: str, size: int, hop: int) -> DataFrame:
+    """clips with (window, window_samples): a row for each whole window of `size` samples, every `hop`; shorter clips have none."""
+    last = F.expr(f"(size(`{samples}`) - {size}) div {hop}")
+    whole = clips.where(F.size(samples) >= size).withColumn("window", F.explode(F.sequence(F.lit(0), last.cast("int"))))
+    return whole.withColumn("window_samples", F.slice(samples, F.col("window") * hop + 1, F.lit(size)))

@@ -483,15 +483,17 @@ def review_merge(spark, sf):
 CHUNKS = """t AS (SELECT conv_id, turn, role, text, length(text) / 20.0::DOUBLE AS d FROM conversations), k AS (SELECT conv_id, text, turn, sum(d) OVER w - d AS start, sum(d) OVER w AS "end" FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING))"""
 
 
-@query("chunk_overlap_text", f"""WITH {CHUNKS}, c AS (SELECT DISTINCT conv_id, i * 10.0::DOUBLE AS clip_start, i * 10.0::DOUBLE + 10 AS clip_end FROM conversations, range(3) r(i))
+@query("chunk_overlap_text", f"""WITH {CHUNKS}, c AS (SELECT conv_id, i * 10.0::DOUBLE AS clip_start, i * 10.0::DOUBLE + 10 AS clip_end FROM (SELECT conv_id, unnest(range(0, greatest(ceil(max("end") / 10), 1)::BIGINT)) AS i FROM k GROUP BY conv_id))
 SELECT c.conv_id, clip_start, clip_end, coalesce(string_agg(text, ' ' ORDER BY start), '') AS text FROM c LEFT JOIN k ON c.conv_id = k.conv_id AND k.start < clip_end AND k."end" > clip_start AND trim(text) <> '' GROUP BY ALL""")
 def chunk_overlap_text(spark, sf):
+    """Every conversation cut into stretches of 10 s, with the texts of the turns that reach into each."""
     from pyspark.sql import Window
 
     t = table(spark, sf, "conversations").withColumn("d", F.length("text") / 20.0)
     end = F.sum("d").over(Window.partitionBy("conv_id").orderBy("turn", "role", "text").rowsBetween(Window.unboundedPreceding, 0))
     k = t.withColumn("end", end).select("conv_id", (F.col("end") - F.col("d")).alias("start"), "end", "text")
-    c = t.select("conv_id").distinct().withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(2)))).select("conv_id", (F.col("i") * 10.0).alias("clip_start"), (F.col("i") * 10.0 + 10).alias("clip_end"))
+    n = F.greatest(F.ceil(F.max("end") / 10), F.lit(1))
+    c = k.groupBy("conv_id").agg(n.alias("n")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).select("conv_id", (F.col("i") * F.lit(10.0)).alias("clip_start"), (F.col("i") * F.lit(10.0) + 10).alias("clip_end"))
     return joins.overlapping_text(c, k, "conv_id")
 
 
@@ -674,11 +676,6 @@ def duration_range(spark, sf):
     return table(spark, sf, "documents").where(F.col("n_chars").between(300, 3600)).select("doc_id", "n_chars")
 
 
-@query("coverage", f"WITH {SEG}, {VOCAB} SELECT language, least(1, count(DISTINCT substring(word, 1, 1)) / 39.0::DOUBLE) AS coverage FROM v GROUP BY language")
-def coverage(spark, sf):
-    return vocabulary(spark, sf).groupBy("language").agg(F.least(F.lit(1.0), F.count_distinct(F.substring("word", 1, 1)) / 39.0).alias("coverage"))
-
-
 @query("split_id_leaks", f"WITH {SPLIT} SELECT DISTINCT doc_id FROM split WHERE split = 'test' AND doc_id IN (SELECT doc_id FROM split WHERE split <> 'test') UNION SELECT DISTINCT doc_id FROM split WHERE split = 'validation' AND doc_id IN (SELECT doc_id FROM split WHERE split <> 'validation')")
 def split_id_leaks(spark, sf):
     d = split_documents(spark, sf).select("doc_id", "split")

@@ -182,13 +182,6 @@ def audit_status(spark, sf):
     return d.groupBy("lang", (F.col("doc_id") % 2).alias("half")).agg(F.coalesce(share, F.lit("pending")).alias("quality")).select("lang", "quality")
 
 
-@query("trial_pairs", """WITH v AS (SELECT vec_id AS a, label AS s, md5(CAST(vec_id AS VARCHAR)) AS o FROM embeddings), w AS (SELECT *, substring(o, 1, 2) AS k FROM v),
-p AS (SELECT a, lead(a) OVER (PARTITION BY k, s ORDER BY o, a) AS b, true AS same FROM w UNION ALL SELECT a, CASE WHEN lead(s) OVER (PARTITION BY k ORDER BY o, a) <> s THEN lead(a) OVER (PARTITION BY k ORDER BY o, a) END, false FROM w)
-SELECT least(a, b) AS a, greatest(a, b) AS b, same FROM p WHERE b IS NOT NULL""")
-def trial_pairs(spark, sf):
-    return reports.trial_pairs(table(spark, sf, "embeddings").select("vec_id", "label"), "vec_id", "label")
-
-
 @query("voice_report", """WITH l AS (SELECT label, vec_id FROM embeddings) SELECT label, count(*) AS clips, round(sum(vec_id % 13) / 60.0::DOUBLE, 4) AS minutes, round(median((vec_id % 13)::DOUBLE), 4) AS median_score, round(100.0::DOUBLE * count_if(vec_id % 13 > 6) / count(*), 4) AS pass_percent, count(DISTINCT vec_id % 5) AS emotions FROM l GROUP BY label""")
 def voice_report(spark, sf):
     """The part of a candidate voice's row that voice_screen lacks."""

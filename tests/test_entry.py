@@ -7,7 +7,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from quernstone.plans import catalog, reports  # noqa: F401 - reports adds its queries to the catalogue
+from quernstone.plans import catalog, reports, speech  # noqa: F401 - the others add their queries to the catalogue
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="needs the driver's tables")

@@ -41,15 +41,7 @@ def test_phonemes_scores_and_seconds(spark):
     assert [r[2] for r in got] == [1.5, 0.0, 0.0, 0.0]
 
 
-def test_trials_are_of_either_kind_and_few(spark):
-    d = spark.createDataFrame([(k, "hot" if k % 3 else f"s{k % 5}") for k in range(600)] + [(900, None)], "id long, who string")
-    who = {r.id: r.who for r in d.collect()}
-    got = reports.trial_pairs(d, "id", "who").collect()
-    assert all(r.a < r.b and (who[r.a] == who[r.b]) == r.same for r in got) and 900 not in {x for r in got for x in (r.a, r.b)}
-    assert all(0 < sum(r.same == s for r in got) <= 600 for s in (True, False))
-
-
 def test_reports_on_an_empty_table(spark):
     none = spark.createDataFrame([], "g string, lead_s double, trail_s double, speech_s double, total_s double, rolloff_hz double, above_8khz double")
     assert reports.pauses(none, ["g"]).count() == reports.edges(none, ["g"]).count() == reports.bandwidth(none, ["g"]).count() == 0
-    assert reports.histograms(none, ["g"], ["lead_s"]).count() == reports.trial_pairs(none, "lead_s", "g").count() == 0
+    assert reports.histograms(none, ["g"], ["lead_s"]).count() == 0
