@@ -95,7 +95,9 @@ def counted(pieces: pa.Table, max_words: int) -> Iterator[tuple[np.ndarray, pa.T
     for n in range(1, max_words + 1):
         text, h = names.take(pa.array(code[first])), mix64(lang_hash[lang[first]] + hashes[code[first]])
         for k in range(1, n):
-            text, h = pc.binary_join_element_wise(text, names.take(pa.array(code[first + k])), " "), mix64(h * np.uint64(0x9E3779B97F4A7C15) + hashes[code[first + k]])
+            text = pc.binary_join_element_wise(text, names.take(pa.array(code[first + k])), " ")
+        # phrases of one beginning go together, in order, as their strings then compress well
+        h = h if n == 1 else mix64(h * np.uint64(0x9E3779B97F4A7C15) + hashes[code[first + 1]])
         yield h, pa.table([langs.dictionary.take(pa.array(lang[first])).cast(pa.string()), text.cast(pa.string()), pa.array(np.full(len(first), n, np.int32)), pa.array(f)], schema=COUNTED)
         begins = np.flatnonzero(parent[:-n] == parent[n:])
         if n == max_words or not len(begins):
@@ -122,18 +124,19 @@ def phrase_counts(pieces: DataFrame, least: int, max_words: int, buckets: int, m
                 yield pa.Table.from_batches(held)
 
         for chunk in chunks():
+            parts: dict[int, list[pa.Table]] = {}
             for h, grams in counted(chunk, max_words):
                 bucket = ((h >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
                 grams, bucket = grams.take(pa.array(order)), bucket[order]
                 cuts = np.concatenate(([0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]))
-                blobs = []
                 for a, b in itertools.pairwise(cuts):
-                    sink = pa.BufferOutputStream()
-                    with pa.ipc.new_stream(sink, COUNTED, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-                        out.write_table(grams.slice(a, b - a).combine_chunks())
-                    blobs.append(sink.getvalue().to_pybytes())
-                yield pa.RecordBatch.from_arrays([pa.array(bucket[cuts[:-1]]), pa.array(blobs, pa.binary())], ["bucket", "blob"])
+                    parts.setdefault(int(bucket[a]), []).append(grams.slice(a, b - a))
+            for bucket in sorted(parts):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, COUNTED, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                    out.write_table(pa.concat_tables(parts.pop(bucket)).combine_chunks())
+                yield pa.RecordBatch.from_arrays([pa.array([bucket]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["bucket", "blob"])
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = ((b, blob) for x in batches for b, blob in zip(x.column("bucket").to_pylist(), x.column("blob"), strict=True))
@@ -141,12 +144,13 @@ def phrase_counts(pieces: DataFrame, least: int, max_words: int, buckets: int, m
             for _, group in itertools.groupby(rows, lambda r: r[0]):
                 stream = (part for _, blob in group for part in pa.ipc.open_stream(blob.as_buffer()))
                 partial_counts = pa.RecordBatchReader.from_batches(COUNTED, stream)  # noqa: F841 - DuckDB reads it by name
-                found = db.execute("SELECT lang, gram, words, sum(f)::BIGINT AS f FROM partial_counts GROUP BY ALL HAVING words = 0 OR sum(f) >= ?", [least])
+                found = db.sql(f"SELECT lang, gram, words, sum(f)::BIGINT AS f FROM partial_counts GROUP BY ALL HAVING words = 0 OR sum(f) >= {least}")
                 for out in found.to_arrow_reader(65536):
                     yield out.cast(COUNTED)
 
     blobs = pieces.mapInArrow(partial, "bucket long, blob binary")
-    return blobs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(whole, "lang string, gram string, words int, f long")
+    # a bucket is a partition, so tasks are even; what one task writes is at most a row for each of them
+    return blobs.repartitionById(buckets, F.col("bucket").cast("int")).sortWithinPartitions("bucket").mapInArrow(whole, "lang string, gram string, words int, f long")
 
 
 def collocations(docs: DataFrame, least: int = 10, max_words: int = 3, inside: int = 50, top: int = 2000) -> DataFrame:
@@ -154,7 +158,7 @@ def collocations(docs: DataFrame, least: int = 10, max_words: int = 3, inside: i
 
     A phrase goes if a longer one that has at least `inside` percent of its count holds it.
     """
-    counts = materialise(phrase_counts(split_pieces(docs), least, max_words, 4 * partitions(docs.sparkSession)), "phrase-counts")
+    counts = materialise(phrase_counts(split_pieces(docs), least, max_words, partitions(docs.sparkSession)), "phrase-counts")
     # one number: a part is common if it makes up a thousandth of all words
     total = counts.where("words = 0").agg(F.coalesce(F.sum("f"), F.lit(0))).first()[0]
     words = F.split("gram", " ")
