@@ -60,10 +60,13 @@ DEEPEST = 512
 
 
 class Node:
-    __slots__ = ("children", "dead", "depth", "parent", "style", "tag")
+    """An element. `own`: it is beside the text by itself; `dead`: it or one around it is."""
 
-    def __init__(self, tag: str, style: str, parent: Node | None, dead: bool) -> None:
-        self.tag, self.style, self.parent, self.dead, self.children = tag, style, parent, dead, []
+    __slots__ = ("children", "dead", "depth", "own", "parent", "style", "tag")
+
+    def __init__(self, tag: str, style: str, parent: Node | None, own: bool) -> None:
+        self.tag, self.style, self.parent, self.own, self.children = tag, style, parent, own, []
+        self.dead = own or bool(parent and parent.dead)
         self.depth = parent.depth + 1 if parent else 0
 
 
@@ -104,7 +107,7 @@ class Reader(HTMLParser):
             node = self.at
             while node:
                 if node.tag == "form" and node.parent and not node.parent.dead:
-                    node.dead = False
+                    node.dead = node.own = False
                 node = node.parent
         if tag == "br":
             self.at.children.append(" ")
@@ -112,7 +115,8 @@ class Reader(HTMLParser):
             self.at.children.append(None)
         elif tag not in VOID:
             attributes = dict(attrs)
-            dead = self.at.dead or beside(tag, attributes)
+            own = beside(tag, attributes)
+            dead = own or self.at.dead
             # inline elements are no nodes, but that the end of a dead one must be found
             if self.at.depth >= DEEPEST and not dead:
                 if tag in BLOCK:
@@ -120,7 +124,7 @@ class Reader(HTMLParser):
                     self.beyond[tag] += 1
             elif tag in BLOCK or dead:
                 style = ".".join([tag, *sorted(re.sub(r"\d+", "", f"{attributes.get('class') or ''} {attributes.get('id') or ''}").lower().split())])
-                node = Node(tag, style, self.at, dead)
+                node = Node(tag, style, self.at, own)
                 self.at.children.append(node)
                 self.at = node
 
@@ -173,7 +177,7 @@ def text_roots(page: Node) -> list[Node]:
     """What of a page holds its text: articles, or main, or all. Where broken markup puts an article or main in a menu or the like, that."""
     articles, main = frozenset({"article"}), frozenset({"main"})
     live = outermost(page, articles) or outermost(page, main)
-    if not live and (lost := [n for n in outermost(page, articles | main, True) if not is_mark(n.style.replace(".", " "))]):
+    if not live and (lost := [n for n in outermost(page, articles | main, True) if not n.own]):
         for n in lost:
             revive(n)
         return lost
@@ -186,7 +190,7 @@ def revive(node: Node) -> None:
     while todo:
         n = todo.pop()
         n.dead = False
-        todo += [c for c in n.children if isinstance(c, Node) and not (c.tag in DEAD or c.tag == "header" or is_mark(c.style.replace(".", " ")))]
+        todo += [c for c in n.children if isinstance(c, Node) and not c.own]
 
 
 def name_of(above: int, s: str) -> int:
@@ -273,16 +277,17 @@ def low_nodes(pages: DataFrame, low: float, least: int, gap: float) -> DataFrame
     # presentation: entropy of the styles of a node over its m pages, to base m
     per = children.groupBy("host", "node", "style").agg(F.count("*").alias("c"), F.sum("children").alias("l"))
     m = per.groupBy("host", "node").agg(F.sum("c").alias("m"), F.sum("l").alias("l"), F.sum(F.col("c") * F.log("c")).alias("clogc"))
-    share = (F.log("m") - F.col("clogc") / F.col("m")) / F.log("m")
+    share = F.try_divide(F.log("m") - F.col("clogc") / F.col("m"), F.log("m"))
     shown = m.where(F.col("m") >= least).select("host", "node", "m", (F.col("l") / F.col("m")).alias("l"), share.alias("presentation"))
     # contents: a block once for each page, in each node around it and in the page as a whole (node null)
     spread = told.select("host", "page", F.explode("blocks").alias("b")).select("host", "page", "b.hash", F.explode(F.array_append(F.col("b.path"), F.lit(None).cast("long"))).alias("node")).distinct()
     blocks = spread.groupBy("host", "node", "hash").agg(F.count("*").alias("c"))
+    spread_of = lambda m: 1 - F.try_divide(F.log("c"), F.log(m))
     inside = blocks.where("node is not null").join(shown.select("host", "node", "m"), ["host", "node"])
-    content = inside.groupBy("host", "node").agg(F.avg(1 - F.log("c") / F.log("m")).alias("content"), F.sum(1 - F.log("c") / F.log("m")).alias("sum_in"), F.count("*").alias("n_in"))
+    content = inside.groupBy("host", "node").agg(F.avg(spread_of("m")).alias("content"), F.sum(spread_of("m")).alias("sum_in"), F.count("*").alias("n_in"))
     # the whole of a host: the same blocks over all its pages
-    size = told.groupBy("host").agg(F.count("*").alias("pages"))
-    every = blocks.where("node is null").join(size, "host").groupBy("host", "pages").agg(F.sum(1 - F.log("c") / F.log("pages")).alias("sum_all"), F.count("*").alias("n_all"))
+    size = told.groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= least)
+    every = blocks.where("node is null").join(size, "host").groupBy("host", "pages").agg(F.sum(spread_of("pages")).alias("sum_all"), F.count("*").alias("n_all"))
     weight = F.pow(F.lit(0.9), F.col("l"))
     judged = shown.join(content, ["host", "node"]).join(every, "host").withColumn("importance", (1 - weight) * F.col("presentation") + weight * F.col("content"))
     rest = F.try_divide(F.col("sum_all") - F.col("sum_in"), F.col("n_all") - F.col("n_in"))
