@@ -106,5 +106,8 @@ def spoken_numbers(texts: pd.Series, languages: pd.Series) -> pd.Series:
 def spoken(text: Column, language: Column) -> Column:
     """Text as it is read aloud: currency and abbreviations (English), numbers, symbols, white space."""
     english = T.spoken_abbreviations(T.spoken_currency(text))
-    said = spoken_numbers(F.when(language == "en", english).otherwise(text), language)
+    read = F.when(language == "en", english).otherwise(text)
+    # texts without a digit stay in the JVM
+    digit = read.rlike(r"\p{Nd}")
+    said = F.when(digit, spoken_numbers(F.when(digit, read), language)).otherwise(read)
     return T.collapsed(T.spoken_symbols(said, language))

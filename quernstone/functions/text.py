@@ -29,7 +29,7 @@ ABBREVIATIONS = (
 #: How symbols are read, by language.
 SYMBOLS = {"en": (("%", " percent"), ("&", " and ")), "te": (("%", " శాతం"), ("&", " మరియు "))}
 #: Marks that error rates leave out without a blank (dandas, zero-width marks, quotes, dashes).
-LEFT_OUT = "\u0964\u0965\u200c\u200d\u201c\u201d\u2018\u2019\u2013\u2014\u2026\u200b"
+LEFT_OUT = "।॥“”‘’–—…\u200b\u200c\u200d"
 #: A model's emotion labels in the project's terms.
 FOLDED = {
     "angry": "angry", "anger": "angry", "disgusted": "angry", "disgust": "angry",
@@ -108,11 +108,16 @@ def annotated(text: Column, language: Column) -> Column:
 
 
 @F.pandas_udf(StringType())
-def composed(texts: pd.Series) -> pd.Series:
-    """Unicode's composed form (NFC)."""
+def _composed(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
 
 
+def composed(text: Column) -> Column:
+    """Unicode's composed form (NFC); pure ASCII is composed as it is and doesn't go to Python."""
+    plain = text.rlike(r"\A\p{ASCII}*\z")
+    return F.when(plain, text).otherwise(_composed(F.when(~plain, text)))
+
+
 def comparison_form(text: Column) -> Column:
     """Composed, lower-cased, without anything but word characters and white space, collapsed."""
     return F.trim(F.regexp_replace(F.regexp_replace(F.lower(composed(text)), r"(?U)[^\w\s]", ""), r"(?U)\s+", " "))
@@ -163,6 +168,7 @@ def word_error_rate(reference: Column, heard: Column) -> Column:
 
 
 def z_level(z: Column) -> Column:
+    # The bounds and their phrases.
     return F.when(z >= 1.0, "much higher than usual").when(z >= 0.4, "higher than usual").when(z <= -1.0, "much lower than usual").when(z <= -0.4, "lower than usual").otherwise("around this speaker's average")
 
 
@@ -205,6 +211,7 @@ def acoustics(pitch: Column, loudness: Column, pitch_range: Column, dynamics: Co
     """Seven lines of text on how a clip sounds next to its speaker's others; what is missing counts as 0."""
     z = lambda c: z_level(F.coalesce(c, F.lit(0.0)))
     zero = lambda c: F.coalesce(c, F.lit(0.0))
+    # The phrases and their order.
     return F.concat_ws(
         "\n",
         F.concat(F.lit("- Pitch level: "), z(pitch)),

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quernstone.functions import text as T
+from quernstone.operators.components import components
 from quernstone.scratch import materialise
 
 
@@ -17,22 +21,27 @@ def named(by: str) -> Column:
 def similar_pairs(rows: DataFrame, key: str, text: str, by: str, percent: int = 90) -> DataFrame:
     """(a, b) with a < b: rows of one `by` whose token sets have a Jaccard of percent / 100 or more; empty sets have none.
 
-    Tokens are ordered by rarity in their group; equal or similar sets share a token among their first
-    n - ceil(percent * n / 100) + 1, so only those meet. Sets that are equal are joined as one by their hash, each to
-    the first, beside the pairs of different sets, so that copies need not be paired with each other.
+    Tokens are ordered by rarity in their group; similar sets share a token among their first n - ceil(percent * n / 100)
+    + 1, so only those meet, and of these only pairs whose places of that token leave room for the overlap that
+    similarity takes. Tokens travel as 64-bit hashes and sets are compared as strings at the end, so two tokens of one
+    hash cost a comparison and no result. Sets that are equal are joined as one by their hash, each to the first, beside
+    the pairs of different sets, so that copies need not be paired with each other.
     """
-    sets = rows.select(key, named(by), T.token_set(F.col(text)).alias("tokens")).where(F.size("tokens") > 0)
-    sets = sets.withColumn("tokens", F.array_sort("tokens")).withColumn("h", F.sha2(F.array_join("tokens", "\n"), 256))
-    first = sets.groupBy(by, "h").agg(F.min(key).alias("rep"), F.first("tokens").alias("tokens"))
-    posts = first.select(by, "rep", F.size("tokens").alias("n"), F.explode("tokens").alias("t"))
+    sets = rows.select(key, named(by), F.array_sort(T.token_set(F.col(text))).alias("tokens")).where(F.size("tokens") > 0)
+    sets = sets.withColumn("h", F.sha2(F.array_join("tokens", "\n"), 256))
+    first = materialise(sets.groupBy(by, "h").agg(F.min(key).alias("rep"), F.first("tokens").alias("tokens")), "token-sets")
+    posts = first.select(by, "rep", F.size("tokens").alias("n"), F.explode(F.transform("tokens", lambda t: F.xxhash64(t))).alias("t"))
     rare = posts.groupBy(by, "t").agg(F.count("*").alias("df"))
     at = F.row_number().over(Window.partitionBy(by, "rep").orderBy("df", "t"))
-    prefix = posts.join(rare, [by, "t"]).withColumn("i", at).where(F.expr(f"i <= n - (n * {percent} + 99) div 100 + 1")).select(by, "t", "rep", "n")
-    x, y = prefix.select(by, "t", F.col("rep").alias("a"), F.col("n").alias("na")), prefix.select(by, "t", F.col("rep").alias("b"), F.col("n").alias("nb"))
-    met = x.join(y, [by, "t"]).where("a < b").where(F.expr(f"least(na, nb) * 100 >= greatest(na, nb) * {percent}")).select(by, "a", "b").distinct()
+    # a token of one set only leads nowhere, but counts in its place
+    prefix = posts.join(rare, [by, "t"]).withColumn("i", at).where(F.expr(f"df > 1 and i <= n - (n * {percent} + 99) div 100 + 1")).select(by, "t", "rep", "n", "i")
+    x, y = (prefix.select(by, "t", F.col("rep").alias(s), F.col("n").alias(f"n{s}"), F.col("i").alias(f"i{s}")) for s in "ab")
+    room = f"(least(ia, ib) + least(na - ia, nb - ib)) * {100 + percent} >= (na + nb) * {percent}"
+    met = x.join(y, [by, "t"]).where("a < b").where(F.expr(f"least(na, nb) * 100 >= greatest(na, nb) * {percent} and {room}")).select(by, "a", "b").distinct()
     full = first.select(by, "rep", "tokens")
     both = met.join(full.withColumnRenamed("rep", "a").withColumnRenamed("tokens", "ta"), [by, "a"]).join(full.withColumnRenamed("rep", "b").withColumnRenamed("tokens", "tb"), [by, "b"])
-    return both.where(F.size(F.array_intersect("ta", "tb")) * 100 >= F.size(F.array_union("ta", "tb")) * percent).select("a", "b")
+    shared = F.size(F.array_intersect("ta", "tb"))
+    return both.where(shared * 100 >= (F.size("ta") + F.size("tb") - shared) * percent).select("a", "b")
 
 
 def members(rows: DataFrame, key: str, text: str, by: str) -> DataFrame:
@@ -47,25 +56,76 @@ def members(rows: DataFrame, key: str, text: str, by: str) -> DataFrame:
     return s.join(f, F.expr(f"s.h = f.h and s.`{by}` <=> f.`{by}`")).select(F.col(f"s.`{key}`"), "representative")
 
 
-def greedy_kept(rows: DataFrame, key: str, text: str, by: str, percent: int = 90) -> DataFrame:
-    """(key, dropped): in the order of key, a row goes if a row before it that stays is similar; rows with empty sets stay.
+def in_order(a: np.ndarray, b: np.ndarray, nodes: int) -> np.ndarray:
+    """Of nodes numbered in order, which stay: those that no earlier one that stays has an edge (a before b) to."""
+    stays = np.ones(nodes, bool)
+    order = np.lexsort((a, b))
+    a, b = a[order], b[order]
+    begins = np.searchsorted(b, np.arange(nodes + 1))
+    for k in np.unique(b):
+        stays[k] = not stays[a[begins[k] : begins[k + 1]]].any()
+    return stays
 
-    Copies of a set go at once (the first decides for all). The rest is settled in rounds on the edges: who has no
-    undecided earlier neighbour stays or, with a kept one, goes; each round settles the first undecided row of a chain
-    at least, so the rounds end. Rows without `by` are a group of their own.
-    """
-    sets = rows.select(key, named(by), T.token_set(F.col(text)).alias("tokens"))
-    sets = sets.withColumn("h", F.when(F.size("tokens") > 0, F.sha2(F.array_join(F.array_sort("tokens"), "\n"), 256)).otherwise(F.concat(F.lit("empty "), F.col(key).cast("string"))))
-    reps = sets.groupBy(by, "h").agg(F.min(key).alias("rep"))
-    edges = materialise(similar_pairs(rows, key, text, by, percent), "greedy-edges")
-    nodes = edges.select(F.col("a").alias("rep")).union(edges.select("b")).distinct()
-    state = nodes.withColumn("keep", F.lit(None).cast("boolean"))
+
+def settled(edges: DataFrame, key: str) -> DataFrame:
+    """(rep, keep) for the nodes of edges (key, a, b), one task for the edges of each key, which must fit it."""
+    kind = edges.schema["a"].dataType.simpleString()
+
+    def run(table: pa.Table) -> pa.Table:
+        a, b = (table.column(c).combine_chunks() for c in "ab")
+        names = pc.unique(pa.concat_arrays([a, b]))
+        names = names.take(pc.sort_indices(names))
+        at = [pc.index_in(x, names).to_numpy(zero_copy_only=False).astype(np.int64) for x in (a, b)]
+        return pa.table({"rep": names, "keep": pa.array(in_order(*at, len(names)))})
+
+    return edges.select(key, "a", "b").groupBy(key).applyInArrow(run, f"rep {kind}, keep boolean")
+
+
+def by_rounds(edges: DataFrame) -> DataFrame:
+    """(rep, keep) for the nodes of edges (a, b): in each round, who has no undecided earlier neighbour stays or, with a kept one, goes."""
+    state = edges.select(F.col("a").alias("rep")).union(edges.select("b")).distinct().withColumn("keep", F.lit(None).cast("boolean"))
     while True:
         earlier = edges.join(state.select(F.col("rep").alias("a"), "keep"), "a").groupBy(F.col("b").alias("rep")).agg(F.coalesce(F.bool_or("keep"), F.lit(False)).alias("hit"), F.bool_or(F.col("keep").isNull()).alias("open"))
         step = state.join(earlier, "rep", "left").select("rep", F.when(F.col("keep").isNotNull(), F.col("keep")).when(F.coalesce("hit", F.lit(False)), False).when(~F.coalesce("open", F.lit(False)), True).alias("keep"))
         # written, so that the plan doesn't grow with the rounds; it has only rows with similar others
         state = materialise(step, "greedy-state")
         if state.where("keep is null").isEmpty():
-            break
+            return state
+
+
+def resolved(edges: DataFrame, by: str, bound: int = 2_000_000) -> DataFrame:
+    """(rep, keep) for the nodes of edges (by, a, b) with a < b, first wins.
+
+    A group with at most `bound` edges is settled in order by one task, whatever its chains; a larger one falls into its
+    connected components, each settled so; a component over the bound, which one task shouldn't hold, goes by rounds,
+    each of which settles at least the first open row of every chain.
+    """
+    sizes = edges.groupBy(by).agg(F.count("*").alias("_n"))
+    small, large = (edges.join(sizes.where(f"_n {op} {bound}").select(by), by, "left_semi") for op in ("<=", ">"))
+    out = settled(small, by)
+    if large.isEmpty():
+        return out
+    large = materialise(large, "greedy-large")
+    labels = components(large.select(F.col("a").alias("u"), F.col("b").alias("v")), "greedy-parts")
+    parts = materialise(large.join(labels.select(F.col("node").alias("a"), "component"), "a").select("component", "a", "b"), "greedy-components")
+    sizes = parts.groupBy("component").agg(F.count("*").alias("_n"))
+    few, many = (parts.join(sizes.where(f"_n {op} {bound}").select("component"), "component", "left_semi") for op in ("<=", ">"))
+    out = out.unionByName(settled(few, "component"))
+    return out if many.isEmpty() else out.unionByName(by_rounds(materialise(many.select("a", "b"), "greedy-giants")))
+
+
+def greedy_kept(rows: DataFrame, key: str, text: str, by: str, percent: int = 90) -> DataFrame:
+    """(key, dropped): in the order of key, a row goes if a row before it that stays is similar; rows with empty sets stay.
+
+    Copies of a set go at once (the first decides for all); the rest is settled on the edges between sets. Rows without
+    `by` are a group of their own.
+    """
+    sets = rows.select(key, named(by), T.token_set(F.col(text)).alias("tokens"))
+    sets = sets.withColumn("h", F.when(F.size("tokens") > 0, F.sha2(F.array_join(F.array_sort("tokens"), "\n"), 256)).otherwise(F.concat(F.lit("empty "), F.col(key).cast("string"))))
+    sets = materialise(sets.select(key, by, "h"), "greedy-sets")
+    reps = sets.groupBy(by, "h").agg(F.min(key).alias("rep"))
+    pairs = similar_pairs(rows, key, text, by, percent)
+    edges = materialise(pairs.join(reps.select(F.col("rep").alias("a"), by), "a").select(by, "a", "b"), "greedy-edges")
+    state = resolved(edges, by)
     decided = reps.join(state, "rep", "left").select(by, "h", "rep", F.coalesce("keep", F.lit(True)).alias("keep"))
     return sets.join(decided, [by, "h"]).select(key, (~F.col("keep") | (F.col(key) != F.col("rep"))).alias("dropped"))

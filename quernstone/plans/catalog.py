@@ -327,15 +327,38 @@ def quadrant_label(spark, sf):
     return table(spark, sf, "events").select("event_id", T.quadrant(F.expr("(event_id * 7919 % 1001) / 1000.0D"), F.expr("(event_id * 104729 % 1001) / 1000.0D")).alias("label"))
 
 
-@query("cer", "WITH t AS (SELECT item_id, regexp_replace(text, '[^ -~]', '?', 'g') AS t FROM benchmark) SELECT a.item_id, round(levenshtein(a.t, b.t) / length(a.t), 6) AS cer FROM t a JOIN t b ON b.item_id = a.item_id + 1 WHERE a.t <> ''")
+def edit_distance(pairs: str) -> str:
+    """CTEs after `pairs` (id, x, y), lists: `far` (id, d), by rows of the table of prefixes; a step along a row is a running least."""
+    return f"""{pairs},
+r AS (SELECT id, 0::BIGINT AS i, j, j AS d FROM (SELECT id, unnest(range(0, len(y) + 1)) AS j FROM p)
+  UNION ALL
+  SELECT id, i + 1, j, min(t - j) OVER (PARTITION BY id ORDER BY j) + j FROM (
+    SELECT r.id, r.i, r.j, least(d + 1, coalesce(lag(d) OVER (PARTITION BY r.id ORDER BY j) + CASE WHEN p.x[r.i + 1] = p.y[j] THEN 0 ELSE 1 END, d + 1)) AS t FROM r JOIN p ON p.id = r.id WHERE r.i < len(p.x))),
+far AS (SELECT r.id, d FROM r JOIN p ON p.id = r.id WHERE i = len(x) AND j = len(y))"""
+
+
+#: Characters as single bytes, as many as there are different ones (under 127 in the driver's items): the other engine's own distance counts bytes.
+@query("cer", """WITH ch AS (SELECT c, row_number() OVER (ORDER BY c) AS k FROM (SELECT DISTINCT unnest(string_split(text, '')) AS c FROM benchmark)), m AS (SELECT string_agg(c, '' ORDER BY k) AS a, string_agg(chr(k::INT), '' ORDER BY k) AS b FROM ch),
+t AS (SELECT item_id, translate(text, a, b) AS t FROM benchmark, m) SELECT a.item_id, round(levenshtein(a.t, b.t) / length(a.t), 6) AS cer FROM t a JOIN t b ON b.item_id = a.item_id + 1 WHERE a.t <> ''""")
 def cer(spark, sf):
-    """Character error rate of each benchmark item against the next one, marks outside ASCII made one (the other engine counts bytes)."""
-    b = table(spark, sf, "benchmark").select("item_id", F.regexp_replace("text", "[^ -~]", "?").alias("a"))
+    """Character error rate of each benchmark item against the next one."""
+    b = table(spark, sf, "benchmark").select("item_id", F.col("text").alias("a"))
     nxt = b.select((F.col("item_id") - 1).alias("item_id"), F.col("a").alias("b"))
     return b.where("a <> ''").join(nxt, "item_id").select("item_id", F.round(T.character_error_rate(F.col("a"), F.col("b")), 6).alias("cer"))
 
 
-@query("wer")
+def heard_form(text: str) -> str:
+    """The words of T.recognition_form in SQL; white space that isn't in text's ASCII is made a blank by name."""
+    marks = "".join(T.LEFT_OUT)
+    low = rf"translate(lower(regexp_replace(nfc_normalize({text}), '<\|.*?\|>', '', 'g')), '{marks}', '')"
+    return rf"list_filter(regexp_split_to_array(regexp_replace(regexp_replace({low}, '[\p{{P}}\p{{S}}]', ' ', 'g'), '[\p{{Z}}\x0B\x1C-\x1F\x85]', ' ', 'g'), '\s+'), lambda w: w <> '')"
+
+
+HEARD = edit_distance(f"f AS (SELECT item_id, {heard_form('text')} AS w FROM benchmark), p AS (SELECT a.item_id AS id, a.w AS x, b.w AS y FROM f a JOIN f b ON b.item_id = a.item_id + 1)")
+RATES = f"{HEARD}, rates AS (SELECT p.id AS item_id, CASE WHEN len(x) > 0 THEN round(d / len(x)::DOUBLE, 6) END AS wer FROM p LEFT JOIN far ON far.id = p.id)"
+
+
+@query("wer", f"WITH RECURSIVE {RATES} SELECT item_id, wer FROM rates")
 def wer(spark, sf):
     """Word error rate of each benchmark item against the next one."""
     b = table(spark, sf, "benchmark").select("item_id", T.recognition_form(F.col("text")).alias("a"))
@@ -618,8 +641,15 @@ def near_dup_members(spark, sf):
     return near_duplicates.members(table(spark, sf, "documents"), "doc_id", "text", "lang")
 
 
-@query("dedup_greedy")
+NEAR = f"{TOKENS}, e AS (SELECT a.doc_id AS a, b.doc_id AS b FROM t a JOIN t b ON a.lang = b.lang AND a.doc_id < b.doc_id AND least(len(a.w), len(b.w)) * 10 >= 9 * greatest(len(a.w), len(b.w)) WHERE len(list_intersect(a.w, b.w)) * 10 >= 9 * len(list_distinct(list_concat(a.w, b.w))))"
+
+
+@query("dedup_greedy", f"""WITH RECURSIVE {NEAR}, nodes AS (SELECT id, row_number() OVER (ORDER BY id) AS k, list(a) AS earlier FROM (SELECT a AS id, NULL AS a FROM e UNION ALL SELECT b, a FROM e) GROUP BY id),
+r AS (SELECT 0::BIGINT AS k, []::BIGINT[] AS kept UNION ALL SELECT n.k, CASE WHEN list_has_any(r.kept, n.earlier) THEN r.kept ELSE list_append(r.kept, n.id) END FROM r JOIN nodes n ON n.k = r.k + 1),
+kept AS (SELECT kept FROM r ORDER BY k DESC LIMIT 1), m AS (SELECT unnest(ids) AS doc_id, representative FROM (SELECT list(doc_id) AS ids, min(doc_id) AS representative FROM (SELECT doc_id, lang, {WORDS.replace("transcript", "text")} AS w FROM documents) WHERE len(w) > 0 GROUP BY lang, list_sort(list_distinct(w))))
+SELECT d.doc_id, coalesce(d.doc_id <> m.representative OR (m.representative IN (SELECT id FROM nodes) AND NOT list_contains((SELECT kept FROM kept), m.representative)), false) AS dropped FROM documents d LEFT JOIN m USING (doc_id)""")
 def dedup_greedy(spark, sf):
+    """First wins: a document goes if one before it that stays is similar."""
     return near_duplicates.greedy_kept(table(spark, sf, "documents"), "doc_id", "text", "lang")
 
 
@@ -719,13 +749,19 @@ def event_rates(spark, sf):
     return sessions.rates(table(spark, sf, "events")).select("event_type", F.unix_micros("start").alias("start_us"), "n", F.round("total", 2).alias("total"))
 
 
-@query("wer_summary")
+@query("wer_summary", f"WITH RECURSIVE {RATES} SELECT count(wer) AS n, round(avg(wer), 6) AS mean, round(median(wer), 6) AS median FROM rates")
 def wer_summary(spark, sf):
     """Mean and median word error rate over the benchmark items that have one."""
     return wer(spark, sf).where("wer is not null").agg(F.count("*").alias("n"), F.round(F.avg("wer"), 6).alias("mean"), F.round(F.median("wer"), 6).alias("median"))
 
 
-@query("corrections")
+def compared(text: str) -> str:
+    """T.comparison_form in SQL."""
+    return rf"trim(regexp_replace(regexp_replace(lower(nfc_normalize({text})), '[^\p{{L}}\p{{M}}\p{{N}}\p{{Pc}}\s\p{{Z}}]', '', 'g'), '[\s\p{{Z}}]+', ' ', 'g'))"
+
+
+@query("corrections", f"""WITH c AS (SELECT a.conv_id, b.turn, a.text AS transcript_batch, b.text AS transcript, 'en' AS language, {compared("a.text")} AS x, {compared("b.text")} AS y FROM conversations a JOIN conversations b ON b.conv_id = a.conv_id AND b.turn = a.turn + 1)
+SELECT conv_id, turn, transcript_batch, transcript, language FROM c WHERE x <> '' AND y <> '' AND x <> y AND abs(len(string_split(x, ' ')) - len(string_split(y, ' '))) BETWEEN 1 AND 4 ORDER BY length(transcript), conv_id, turn LIMIT 3""")
 def corrections(spark, sf):
     """Pairs of neighbouring conversation turns as two transcripts of one clip; the three shortest that differ a little."""
     from quernstone.plans import workflow

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quernstone.functions import alignment, loudness, voice
+from quernstone.functions import alignment, loudness, romanised, voice
 from quernstone.operators import metrics, trials
 from quernstone.plans.catalog import query, table
 
@@ -117,3 +117,15 @@ def clip_loudness(spark, sf):
 def clip_features(spark, sf):
     """Pitch, harmonics to noise, brightness, band ratio and pauses of each clip; tests hold them against tones."""
     return voice.extracted(sounds(spark, sf), "clip", "samples", RATE).select("clip", *[F.round(F.col(f"features.{n}"), 4).alias(n) for n in voice.NAMES])
+
+
+#: ASCII letters, and the letters and one vowel sign that they stand for in the query's texts.
+LATIN, TELUGU = "kgtdpbmlsraei", "\u0c15\u0c17\u0c24\u0c26\u0c2a\u0c2c\u0c2e\u0c32\u0c38\u0c30\u0c05\u0c0e\u0c3f"
+
+
+@query("romanised", rf"""WITH t AS (SELECT doc_id, regexp_replace(lower(regexp_replace(text, '[^ -~\s]', '', 'g')), '[\s]+', ' ', 'g') AS t FROM documents)
+SELECT doc_id, md5(trim(replace(replace(regexp_replace(replace(t, '~', ''), '([kgtdpbmlsr])', '\1~', 'g'), '~i', 'i'), '~', 'a'))) AS digest FROM t""")
+def romanised_texts(spark, sf):
+    """Texts whose letters are put into an Indic script, and romanised back: a consonant has its own vowel unless a sign follows."""
+    t = F.translate(F.lower(F.regexp_replace(F.regexp_replace("text", r"[^ -~\s]", ""), "~", "")), LATIN, TELUGU)
+    return table(spark, sf, "documents").select("doc_id", F.md5(romanised.romanised(t)).alias("digest"))
