@@ -309,3 +309,17 @@ def first_present(scores: Column, names: tuple[str, ...]) -> Column:
 def probed_seconds(said: Column) -> Column:
     """A probe's answer as seconds; 0 where it can't be read."""
     return F.coalesce(F.trim(said).try_cast("double"), F.lit(0.0))
+
+
+def looked_up(document: Column, *keys: str, default: Column | None = None) -> Column:
+    """The value under nested keys of a JSON text, as text; default where a key is missing or its parent is no object. A null that is there is null."""
+    parent, found = document, F.lit(True)
+    for k in keys:
+        # json_object_keys is null for what is no object
+        found = found & F.coalesce(F.array_contains(F.json_object_keys(parent), k), F.lit(False))
+        parent = F.get_json_object(parent, "$['" + k.replace("'", "\\'") + "']")
+    return F.when(found, parent).otherwise(F.lit(None).cast("string") if default is None else default)
+
+
+def cut_rationale(rationale: Column, most: int = 160) -> Column:
+    return F.substring(F.coalesce(rationale, F.lit("")), 1, most)

@@ -7,6 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quernstone.functions import text as T
+from quernstone.operators.ranking import positions
+
 
 def score_merge(segments: DataFrame, scores: list[DataFrame], key: str = "id", skip: tuple[str, ...] = ("language",)) -> DataFrame:
     """Segments with the columns of score tables keyed by `key`, the later table winning where it has the row (a null in it wins too). Unknown ids are ignored."""
@@ -89,3 +92,22 @@ def leaks(rows: DataFrame, key: Column, split: str = "split") -> DataFrame:
     keyed = rows.select(key.alias("key"), split)
     train = keyed.where(F.col(split) == "train").select("key").distinct()
     return keyed.where(F.col(split) != "train").select(F.col(split).alias("held_out"), "key").distinct().join(train, "key", "left_semi").select("held_out", "key")
+
+
+def with_provenance(segments: DataFrame, provenance: DataFrame, sources: DataFrame) -> DataFrame:
+    """segments (source_id, ...) with url, title, channel, upload date and license of where they come from.
+
+    The license is the record's, else the one declared in sources (id, license), else `unknown`; what is missing is empty.
+    """
+    names = {"source_url": "url", "source_video_id": "video_id", "source_title": "title", "source_channel": "channel", "upload_date": "upload_date"}
+    p = provenance.select("source_id", F.col("license").alias("_said"), *[F.col(c).alias(f"_{n}") for n, c in names.items()])
+    met = segments.join(p, "source_id", "left").join(sources.select(F.col("id").alias("source_id"), F.col("license").alias("_declared")), "source_id", "left")
+    values = {n: F.coalesce(F.col(f"_{n}"), F.lit("")) for n in names} | {"license": T.missing(F.col("_said"), T.missing(F.col("_declared"), "unknown"))}
+    return met.select(*[F.col(f"`{c}`") for c in segments.columns if c not in values], *[v.alias(n) for n, v in values.items()])
+
+
+def zipped(left: DataFrame, right: DataFrame, left_order: list[Column], right_order: list[Column], name: str = "place") -> DataFrame:
+    """(place, left, right): structs of the rows that have the same place in their table's order, as many as the shorter has."""
+    a = positions(left, [], left_order, name).select(name, F.struct(*left.columns).alias("left"))
+    b = positions(right, [], right_order, name).select(name, F.struct(*right.columns).alias("right"))
+    return a.join(b, name)

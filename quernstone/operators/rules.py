@@ -92,3 +92,24 @@ def annotations(transcript: Column, language: Column, ovrl: Column, snr: Column,
         (ovrl < 2.8, "low_quality_audio"),
     )
     return F.array_join(found, "|")
+
+
+#: Conditions that users of a published set filter by.
+RECIPES = {
+    "studio": "dnsmos_pass and not quality_flag and not has_truncation",
+    "expressive": "emotion_confidence > 0.7 and emotion <> 'neutral'",
+    "storytelling": "topic in ('mythology', 'folktale', 'fiction')",
+    "review_queue": "transcript_review_needed or emotion_low_confidence",
+}
+
+
+def recipe(rows: DataFrame, name: str) -> DataFrame:
+    """The rows of a published set that a recipe takes."""
+    return rows.where(RECIPES[name])
+
+
+def recipe_views(rows: DataFrame, prefix: str = "") -> list[str]:
+    """A temporary view for each recipe; their names."""
+    for name in RECIPES:
+        recipe(rows, name).createOrReplaceTempView(prefix + name)
+    return [prefix + name for name in RECIPES]

@@ -656,13 +656,32 @@ def dedup_greedy(spark, sf):
 # --- workflow ----------------------------------------------------------------------------------------------------
 
 
-@query("final_records", f"""WITH {MEASURED} SELECT id, language, round(duration_s, 3) AS duration, coalesce(q.quality = 1, false) AS has_truncation, (id % 40 / 10.0::DOUBLE) > 3.0 AS dnsmos_pass, md5(transcript) AS annotated FROM meas LEFT JOIN labels q ON id = q.doc_id""")
+#: What the driver tables lack of a record, made of ids; nulls and empty values take the defaults.
+RECORD = {
+    **{c: f"CASE WHEN id % 5 = 0 THEN NULL ELSE concat('{c}', CAST(id % 7 AS STRING)) END" for c in ("emotion", "style", "tag_source", "speaker_id", "gender", "accent", "ser_emotion", "source_video_id", "source_url", "source_channel", "license", "topic_category", "annotation_flags")},
+    **{c: f"CASE WHEN id % 9 = 0 THEN NULL ELSE (id % {k}) / 8.0D END" for k, c in enumerate(("emotion_confidence", "dnsmos_ovrl", "dnsmos_sig", "dnsmos_bak", "squim_stoi", "squim_pesq", "squim_sisdr", "mms_align_score", "valence", "arousal", "dominance", "tts_suitable", "start_s", "end_s"), 31)},
+    **{c: f"CASE WHEN id % 13 = 0 THEN NULL ELSE id % {k} = 0 END" for k, c in enumerate(("quality_flag", "has_truncation", "has_codemix", "has_laughter", "emotion_low_confidence", "transcript_review_needed", "low_quality_audio", "overlap_flag"), 2)},
+    "annotated_text": "CASE WHEN id % 4 = 0 THEN '' WHEN id % 4 = 1 THEN NULL ELSE concat('a ', transcript) END", "audio": "concat('clips/', CAST(id AS STRING), '.wav')",
+}
+
+
+def _record_sql() -> str:
+    """Every published column but normalized_text, whose number words are no SQL."""
+    renamed = {"topic_category": "topic", "tts_suitable": "llm_tts_suitable", "start_s": "segment_start", "end_s": "segment_end"}
+    out = [f"{e.replace('8.0D', '8.0::DOUBLE')} AS {renamed.get(c, c)}" for c, e in RECORD.items() if c not in ("annotated_text", "annotation_flags") and " = 0 END" not in e]
+    out += [f"coalesce({e}, false) AS {c}" for c, e in RECORD.items() if " = 0 END" in e]
+    ovrl = RECORD["dnsmos_ovrl"].replace("8.0D", "8.0::DOUBLE")
+    out += ["language", "language AS language_code", "snr_db", "transcript AS text", "round(duration_s, 3) AS duration", f"coalesce(({ovrl}) > 3.0, false) AS dnsmos_pass", f"coalesce(nullif({RECORD['annotated_text']}, ''), transcript) AS annotated_text", f"coalesce({RECORD['annotation_flags']}, '') AS annotation_flags", "24000 AS sample_rate"]
+    return f"WITH {MEASURED} SELECT {', '.join(out)} FROM meas"
+
+
+@query("final_records", _record_sql())
 def final_records(spark, sf):
+    """44 of the 45 published columns: renamed, rounded, with defaults."""
     from quernstone.plans import workflow
 
-    s = measured(spark, sf).join(table(spark, sf, "labels").select(F.col("doc_id").alias("id"), (F.col("quality") == 1).alias("has_truncation")), "id", "left")
-    s = s.withColumn("dnsmos_ovrl", F.expr("id % 40 / 10.0D")).withColumn("audio", F.col("id").cast("string")).withColumn("speaker_id", F.col("source_id"))
-    return workflow.records(s).select(F.col("audio").cast("long").alias("id"), "language", "duration", "has_truncation", "dnsmos_pass", F.md5("annotated_text").alias("annotated"))
+    s = measured(spark, sf)
+    return workflow.records(s.select(*[c for c in s.columns if c not in RECORD], *[F.expr(e).alias(c) for c, e in RECORD.items()])).drop("normalized_text")
 
 
 @query("speaker_gender", "WITH m AS (SELECT user_id, median(nullif(value, 0)) AS f FROM events GROUP BY user_id) SELECT event_id, CASE WHEN user_id = 3 THEN 'female' WHEN f > 0 AND f < 165 THEN 'male' ELSE 'female' END AS gender, CASE WHEN event_type = 'view' THEN 'wide' ELSE event_type END AS accent FROM events JOIN m USING (user_id)")

@@ -22,10 +22,14 @@ SEGMENT = struct(
 )
 #: A curated source.
 SOURCE = struct(id=TEXT, url=TEXT, language=TEXT, content_type=TEXT, speaker_id=TEXT, license=TEXT, title=TEXT, notes=TEXT, expected_speakers=T.IntegerType(), enabled=FLAG, max_minutes=NUM, start_offset_s=NUM, end_trim_s=NUM)
+#: Where a source was taken from.
+PROVENANCE = struct(video_id=TEXT, title=TEXT, channel=TEXT, upload_date=TEXT, license=TEXT, url=TEXT, duration_s=NUM, audio_path=TEXT)
 #: A diariser's answer for one recording.
 DIARIZATION = struct(
     request_id=TEXT, transcript=TEXT, language_code=TEXT, language_probability=NUM, timestamps=struct(words=T.ArrayType(TEXT), start_time_seconds=T.ArrayType(NUM), end_time_seconds=T.ArrayType(NUM)),
     diarized_transcript=struct(entries=T.ArrayType(struct(transcript=TEXT, start_time_seconds=NUM, end_time_seconds=NUM, speaker_id=TEXT))),
 )
 DECISION = struct(id=TEXT, decision=TEXT, emotion=TEXT, style=TEXT, transcript=TEXT)
+#: A second judgement of labels.
+RELABEL = struct(id=TEXT, language=TEXT, emotion=TEXT, transcript=TEXT, human_emotion=TEXT)
 AUDIT = struct(id=TEXT, language=TEXT, emotion=TEXT, transcript=TEXT, transcript_correct=TEXT, emotion_correct=TEXT, audio_ok=TEXT, notes=TEXT)

@@ -88,3 +88,10 @@ def recordings(spark: SparkSession, path: str) -> DataFrame:
 def published(spark: SparkSession, path: str) -> DataFrame:
     """A published dataset, with config and split as columns."""
     return spark.read.parquet(path)
+
+
+def provenance(spark: SparkSession, path: str) -> DataFrame:
+    """(source_id, video_id, title, channel, ...) of records named <source_id>.meta.json, by a path or a glob; none gives no rows."""
+    schema = T.StructType([T.StructField("source_id", T.StringType()), *schemas.PROVENANCE.fields])
+    named = F.regexp_extract(F.input_file_name(), r"([^/]+)\.meta\.json$", 1)
+    return or_empty(spark, lambda: spark.read.schema(schemas.PROVENANCE).json(path, multiLine=True).select(named.alias("source_id"), "*"), schema)
