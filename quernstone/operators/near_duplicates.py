@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quernstone.functions import text as T
@@ -18,30 +20,82 @@ def named(by: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(by).cast("string")), F.lit("none")).alias(by)
 
 
-def similar_pairs(rows: DataFrame, key: str, text: str, by: str, percent: int = 90) -> DataFrame:
-    """(a, b) with a < b: rows of one `by` whose token sets have a Jaccard of percent / 100 or more; empty sets have none.
+#: Tokens whose frequency is known where prefixes are cut: at most so many, as each makes up more than one part in so many of all.
+COMMON = 1 << 20
+#: Keys that are broadcast to find their sets; beyond, they are shuffled.
+BROADCAST = 200_000
+
+
+def token_sets(rows: DataFrame, key: str, text: str, by: str) -> DataFrame:
+    """(key, by, h, hs), written: a name of each row's token set, its own for an empty one, and the 64-bit hashes of its tokens in their group."""
+    sets = rows.select(key, named(by), T.token_set(F.col(text)).alias("tokens"))
+    h = F.when(F.size("tokens") > 0, F.sha2(F.array_join(F.array_sort("tokens"), "\n"), 256)).otherwise(F.concat(F.lit("empty "), F.col(key).cast("string")))
+    return materialise(sets.select(key, by, h.alias("h"), F.transform("tokens", lambda t: F.xxhash64(t, F.col(by))).alias("hs")), "token-sets")
+
+
+def representatives(sets: DataFrame, key: str, by: str) -> DataFrame:
+    """(by, h, rep): the first row of each set."""
+    return sets.groupBy(by, "h").agg(F.min(key).alias("rep"))
+
 
-    Tokens are ordered by rarity in their group; similar sets share a token among their first n - ceil(percent * n / 100)
-    + 1, so only those meet, and of these only pairs whose places of that token leave room for the overlap that
-    similarity takes. Tokens travel as 64-bit hashes and sets are compared as strings at the end, so two tokens of one
-    hash cost a comparison and no result. Sets that are equal are joined as one by their hash, each to the first, beside
-    the pairs of different sets, so that copies need not be paired with each other.
+def prefixes(sets: DataFrame, key: str, percent: int) -> DataFrame:
+    """(key, n, t, i): of each set of n tokens the first n - ceil(percent * n / 100) + 1 in the order of frequency, then hash.
+
+    Frequencies count for the tokens that are common enough to matter; all others come first, by their hashes alone.
     """
-    sets = rows.select(key, named(by), F.array_sort(T.token_set(F.col(text))).alias("tokens")).where(F.size("tokens") > 0)
-    sets = sets.withColumn("h", F.sha2(F.array_join("tokens", "\n"), 256))
-    first = materialise(sets.groupBy(by, "h").agg(F.min(key).alias("rep"), F.first("tokens").alias("tokens")), "token-sets")
-    posts = first.select(by, "rep", F.size("tokens").alias("n"), F.explode(F.transform("tokens", lambda t: F.xxhash64(t))).alias("t"))
-    rare = posts.groupBy(by, "t").agg(F.count("*").alias("df"))
-    at = F.row_number().over(Window.partitionBy(by, "rep").orderBy("df", "t"))
-    # a token of one set only leads nowhere, but counts in its place
-    prefix = posts.join(rare, [by, "t"]).withColumn("i", at).where(F.expr(f"df > 1 and i <= n - (n * {percent} + 99) div 100 + 1")).select(by, "t", "rep", "n", "i")
-    x, y = (prefix.select(by, "t", F.col("rep").alias(s), F.col("n").alias(f"n{s}"), F.col("i").alias(f"i{s}")) for s in "ab")
+    spark = sets.sparkSession
+    counts = materialise(sets.select(F.explode("hs").alias("t")).groupBy("t").agg(F.count("*").alias("df")).where("df > 1"), "token-counts")
+    total = counts.agg(F.coalesce(F.sum("df"), F.lit(0))).first()[0]
+    # at most COMMON rows, as their frequencies add up to no more than all
+    common = counts.where(F.col("df") > max(1, total // COMMON)).orderBy("t").toArrow()
+    known = spark.sparkContext.broadcast((common.column("t").to_numpy(), common.column("df").to_numpy()))
+    kind = sets.schema[key].dataType.simpleString()
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens, times = known.value
+        for b in batches:
+            n = pc.list_value_length(b.column("hs")).to_numpy(zero_copy_only=False).astype(np.int64)
+            flat = b.column("hs").flatten().to_numpy(zero_copy_only=False)
+            doc = np.repeat(np.arange(len(n)), n)
+            df = np.zeros(len(flat), np.int64)
+            if len(tokens):
+                at = np.minimum(np.searchsorted(tokens, flat), len(tokens) - 1)
+                df = np.where(tokens[at] == flat, times[at], 0)
+            order = np.lexsort((flat, df, doc))
+            i = np.arange(len(flat)) - np.repeat(np.cumsum(n) - n, n)
+            kept = i < (n - (n * percent + 99) // 100 + 1)[doc]
+            take = pa.array(doc[kept])
+            yield pa.RecordBatch.from_arrays([b.column(key).take(take), pa.array(n[doc[kept]].astype(np.int32)), pa.array(flat[order][kept]), pa.array((i[kept] + 1).astype(np.int32))], [key, "n", "t", "i"])
+
+    return sets.select(key, "hs").mapInArrow(cut, f"`{key}` {kind}, n int, t long, i int")
+
+
+def similar_sets(sets: DataFrame, key: str, by: str, percent: int) -> DataFrame:
+    """(by, a, b), written: pairs of first rows of similar sets."""
+    reps = representatives(sets, key, by)
+    firsts = prefixes(sets, key, percent).join(reps.select(F.col("rep").alias(key)), key, "left_semi")
+    x, y = (firsts.select("t", F.col(key).alias(s), F.col("n").alias(f"n{s}"), F.col("i").alias(f"i{s}")) for s in "ab")
     room = f"(least(ia, ib) + least(na - ia, nb - ib)) * {100 + percent} >= (na + nb) * {percent}"
-    met = x.join(y, [by, "t"]).where("a < b").where(F.expr(f"least(na, nb) * 100 >= greatest(na, nb) * {percent} and {room}")).select(by, "a", "b").distinct()
-    full = first.select(by, "rep", "tokens")
-    both = met.join(full.withColumnRenamed("rep", "a").withColumnRenamed("tokens", "ta"), [by, "a"]).join(full.withColumnRenamed("rep", "b").withColumnRenamed("tokens", "tb"), [by, "b"])
+    met = x.join(y, "t").where("a < b").where(F.expr(f"least(na, nb) * 100 >= greatest(na, nb) * {percent} and {room}")).select("a", "b").distinct()
+    met = materialise(met, "token-pairs")
+    asked = materialise(met.select(F.col("a").alias(key)).union(met.select("b")).distinct(), "token-asked")
+    few = asked.count() <= BROADCAST
+    full = sets.select(key, by, "hs").join(F.broadcast(asked) if few else asked, key, "left_semi")
+    both = met.join(full.select(F.col(key).alias("a"), by, F.col("hs").alias("ta")), "a").join(full.select(F.col(key).alias("b"), F.col("hs").alias("tb")), "b")
     shared = F.size(F.array_intersect("ta", "tb"))
-    return both.where(shared * 100 >= (F.size("ta") + F.size("tb") - shared) * percent).select("a", "b")
+    return materialise(both.where(shared * 100 >= (F.size("ta") + F.size("tb") - shared) * percent).select(by, "a", "b"), "similar-sets")
+
+
+def similar_pairs(rows: DataFrame, key: str, text: str, by: str, percent: int = 90) -> DataFrame:
+    """(a, b) with a < b: rows of one `by` whose token sets have a Jaccard of percent / 100 or more; empty sets have none.
+
+    Similar sets share a token among their first n - ceil(percent * n / 100) + 1 in any one order, rare ones first, so
+    only those meet, and of these only pairs whose places of that token leave room for the overlap that similarity takes.
+    Tokens are 64-bit hashes, made where texts are read, and only prefixes are shuffled. Sets that are equal are joined as
+    one by their hash, each to the first, beside the pairs of different sets, so that copies need not be paired with each
+    other. Rows with equal keys take part as one text each: keys should be unique.
+    """
+    return similar_sets(token_sets(rows, key, text, by), key, by, percent).select("a", "b")
 
 
 def members(rows: DataFrame, key: str, text: str, by: str) -> DataFrame:
@@ -120,12 +174,7 @@ def greedy_kept(rows: DataFrame, key: str, text: str, by: str, percent: int = 90
     Copies of a set go at once (the first decides for all); the rest is settled on the edges between sets. Rows without
     `by` are a group of their own.
     """
-    sets = rows.select(key, named(by), T.token_set(F.col(text)).alias("tokens"))
-    sets = sets.withColumn("h", F.when(F.size("tokens") > 0, F.sha2(F.array_join(F.array_sort("tokens"), "\n"), 256)).otherwise(F.concat(F.lit("empty "), F.col(key).cast("string"))))
-    sets = materialise(sets.select(key, by, "h"), "greedy-sets")
-    reps = sets.groupBy(by, "h").agg(F.min(key).alias("rep"))
-    pairs = similar_pairs(rows, key, text, by, percent)
-    edges = materialise(pairs.join(reps.select(F.col("rep").alias("a"), by), "a").select(by, "a", "b"), "greedy-edges")
-    state = resolved(edges, by)
-    decided = reps.join(state, "rep", "left").select(by, "h", "rep", F.coalesce("keep", F.lit(True)).alias("keep"))
-    return sets.join(decided, [by, "h"]).select(key, (~F.col("keep") | (F.col(key) != F.col("rep"))).alias("dropped"))
+    sets = token_sets(rows, key, text, by)
+    state = resolved(similar_sets(sets, key, by, percent), by)
+    decided = representatives(sets, key, by).join(state, "rep", "left").select(by, "h", "rep", F.coalesce("keep", F.lit(True)).alias("keep"))
+    return sets.select(key, by, "h").join(decided, [by, "h"]).select(key, (~F.col("keep") | (F.col(key) != F.col("rep"))).alias("dropped"))
