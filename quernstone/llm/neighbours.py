@@ -3,8 +3,9 @@
 Equal vectors are one node (a list of ids). The graph starts from random-projection buckets of bounded size and is
 improved by iterative Spark joins of neighbours of neighbours: each node sends its vector along its links, a node
 that gets the vectors of its neighbours scores all against all of them (their number is bounded by a node's degree)
-and proposes to each its best few new neighbours, and a node keeps its best `degree`. Vectors travel as float32,
-scaled by the largest component of all, while the graph is built. Reverse links are kept to `degree` a node by score, so that a hub's list is bounded.
+and proposes to each its best few new neighbours, and a node keeps its best `degree`. While the graph is built and walked,
+vectors travel as float32 scaled by a power of two of their own, with its exponent; scores are of double range, so one
+vector of any finite length takes nothing from the others. Reverse links are kept to `degree` a node by score, so that a hub's list is bounded.
 
 Search is greedy, for all queries at once: a query starts at its own node and at fixed entry nodes; in
 each step a join brings the neighbours of its best nodes that have not been opened yet, and the best `beam` stay. The
@@ -54,10 +55,16 @@ def usable(vectors: DataFrame) -> DataFrame:
     return good.join(F.broadcast(most), F.size("v") == F.col("d"), "left_semi")
 
 
-def half(batch: pa.RecordBatch, name: str) -> np.ndarray:
-    """A column of packed float32 vectors as rows."""
-    raw = batch.column(name).to_pylist()
-    return np.frombuffer(b"".join(raw), np.float32).reshape(len(raw), -1)
+def packed_rows(v: np.ndarray) -> np.ndarray:
+    """Rows as float32 with components up to 1, and in one more column the exponent of two that they were divided by."""
+    exponent = np.frexp(np.abs(v).max(axis=1))[1]
+    return np.concatenate((np.ldexp(v, -exponent[:, None]), exponent[:, None]), axis=1).astype(np.float32)
+
+
+def half(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Packed rows as float32 vectors and the exponents of their scales."""
+    x = np.frombuffer(b"".join(raw), np.float32).reshape(len(raw), -1)
+    return x[:, :-1], x[:, -1].astype(np.int64)
 
 
 def best_of(proposals: DataFrame, degree: int) -> DataFrame:
@@ -76,11 +83,11 @@ def tree_start(nodes: DataFrame, n: int, dim: int, trees: int, bucket: int, degr
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = half(batch, "x")
+            x, e = half(batch.column("x").to_pylist())
             for t in range(trees):
                 p = x @ planes[t].T
                 cell = (p[:, :bits] > 0) @ (1 << np.arange(bits, dtype=np.int64)) if bits else np.zeros(len(x), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), t, np.int32)), pa.array(cell), pa.array(p[:, bits].astype(np.float64)), batch.column("node"), batch.column("x")], ["tree", "cell", "along", "node", "x"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), t, np.int32)), pa.array(cell), pa.array(np.ldexp(p[:, bits].astype(np.float64), e)), batch.column("node"), batch.column("x")], ["tree", "cell", "along", "node", "x"])
 
     dealt = nodes.mapInArrow(keys, "tree int, cell long, along double, node long, x binary")
     # cells are cut into ranges of at most `bucket` along one more projection: no group grows with the data
@@ -89,22 +96,22 @@ def tree_start(nodes: DataFrame, n: int, dim: int, trees: int, bucket: int, degr
 
     def meet(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         node = np.array(table.column("node").to_pylist())
-        x = np.frombuffer(b"".join(table.column("x").to_pylist()), np.float32).reshape(len(node), -1)
-        return proposed(node, x, degree // 2)
+        return proposed(node, *half(table.column("x").to_pylist()), degree // 2)
 
     return dealt.groupBy("tree", "cell", "piece").applyInArrow(meet, "u long, v long, s double")
 
 
-def proposed(node: np.ndarray, x: np.ndarray, best: int) -> pa.Table:
+def proposed(node: np.ndarray, x: np.ndarray, e: np.ndarray, best: int) -> pa.Table:
     """For each of a bounded set of nodes its `best` others, as proposals (u, v, s)."""
     n = len(node)
     if n < 2:
         return pa.table({"u": pa.array([], pa.int64()), "v": pa.array([], pa.int64()), "s": pa.array([], pa.float64())})
-    s = x @ x.T
+    with np.errstate(over="ignore"):
+        s = np.ldexp((x @ x.T).astype(np.float64), e[:, None] + e[None, :])
     np.fill_diagonal(s, -np.inf)
     k = min(best, n - 1)
     top = np.argpartition(-s, k - 1, axis=1)[:, :k]
-    return pa.table({"u": pa.array(np.repeat(node, k)), "v": pa.array(node[top].ravel()), "s": pa.array(np.take_along_axis(s, top, 1).ravel().astype(np.float64))})
+    return pa.table({"u": pa.array(np.repeat(node, k)), "v": pa.array(node[top].ravel()), "s": pa.array(np.take_along_axis(s, top, 1).ravel())})
 
 
 def descend(graph: DataFrame, nodes: DataFrame, degree: int) -> DataFrame:
@@ -115,8 +122,7 @@ def descend(graph: DataFrame, nodes: DataFrame, degree: int) -> DataFrame:
 
     def meet(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         node = np.array(table.column("node").to_pylist())
-        x = np.frombuffer(b"".join(table.column("x").to_pylist()), np.float32).reshape(len(node), -1)
-        return proposed(node, x, PROPOSE)
+        return proposed(node, *half(table.column("x").to_pylist()), PROPOSE)
 
     found = sent.groupBy("u").applyInArrow(meet, "u long, v long, s double")
     return best_of(graph.unionByName(found), degree)
@@ -141,11 +147,11 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, degree: int = DEGRE
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             v = np.array(batch.column("v").to_pylist(), np.float64).reshape(batch.num_rows, -1)
-            # one scale for all; float32 keeps what is far smaller than the largest
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([x.tobytes() for x in (v / scale).astype(np.float32)], pa.binary()), pa.array([x.tobytes() for x in v], pa.binary()), batch.column("name")], ["node", "x", "full", "name"])
+            if not len(v):
+                continue
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([x.tobytes() for x in packed_rows(v)], pa.binary()), pa.array([x.tobytes() for x in v], pa.binary()), batch.column("name")], ["node", "x", "full", "name"])
 
-    n, dim, largest = named.agg(F.count("*"), F.coalesce(F.max(F.size("v")), F.lit(1)), F.max(F.array_max(F.transform("v", F.abs)))).first()
-    scale = float(largest) if largest else 1.0
+    n, dim = named.agg(F.count("*"), F.coalesce(F.max(F.size("v")), F.lit(1))).first()
     nodes = materialise(named.mapInArrow(pack, "node long, x binary, full binary, name string"), "nn-nodes")
     light = nodes.select("node", "x")
     graph = build(light, n, dim, degree, rounds)
@@ -177,10 +183,11 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, degree: int = DEGRE
                 lens = np.array(pc.list_value_length(block).to_pylist(), np.int64)
                 flat = block.flatten()
                 v = flat.field("v").to_numpy(zero_copy_only=False)
-                x = np.frombuffer(b"".join(flat.field("x").to_pylist()), np.float32).reshape(len(v), -1)
-                q = half(part, "q")
+                x, e = half(flat.field("x").to_pylist())
+                q, qe = half(part.column("q").to_pylist())
                 row = np.repeat(np.arange(len(q)), lens)
-                s = np.einsum("ij,ij->i", q[row], x).astype(np.float64)
+                with np.errstate(over="ignore"):
+                    s = np.ldexp(np.einsum("ij,ij->i", q[row], x).astype(np.float64), e + qe[row])
                 order = np.lexsort((v, -s, row))
                 nth = np.arange(len(row)) - np.repeat(np.cumsum(lens) - lens, lens)
                 take = order[nth < BEST]

@@ -122,10 +122,12 @@ def test_repeated_ids_are_queries_and_candidates_of_their_own(spark):
         assert any(e == g for g in got)
 
 
-def test_one_very_long_vector_spoils_no_other(spark):
+@pytest.mark.parametrize("lengths", [{7: 1e9}, {7: 1e25, 8: 1e-25}, {k: 10.0 ** (k % 51 - 25) for k in range(600)}])
+def test_lengths_of_some_vectors_spoil_no_other(spark, lengths):
     rng = np.random.default_rng(4)
     x = rng.normal(size=(600, 16))
-    x[7] *= 1e9
+    for k, length in lengths.items():
+        x[k] *= length
     rows = [(k, v.tolist(), 1) for k, v in enumerate(x)]
     got = neighbours.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
     hit = 0
