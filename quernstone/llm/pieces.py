@@ -17,11 +17,13 @@ read. Of equal sums, the segmentation whose last piece is shortest wins, at each
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from .common import bound_batches, doc_chunks, mix64
@@ -53,6 +55,8 @@ class Vocabulary:
 
     #: By the first bits of a hash, whether a piece has them; most substrings end there.
     SEEN_BITS = 18
+    #: Ends of pieces that are looked for together in a long unit.
+    STRETCH = 1 << 15
 
     def __init__(self, path: str = VOCABULARY) -> None:
         import sentencepiece
@@ -76,6 +80,11 @@ class Vocabulary:
             self.tables[length] = (np.array([r[0] for r in rows], np.uint64), np.array([r[1] for r in rows], np.int32), np.array([r[2] for r in rows]))
         self.fallback = min((s for *_, s in pieces), default=0.0) - 10
         self.bytes_of = {i: name.replace(MARK, " ").encode() for name, i, _ in pieces} | {i: bytes([b]) for b, i in byte_ids.items()}
+        # all spellings as one byte array, by id
+        spelt = [self.bytes_of.get(i, b"") for i in range(max(self.bytes_of, default=-1) + 1)] or [b""]
+        self.spellings = np.frombuffer(b"".join(spelt), np.uint8)
+        self.widths = np.array([len(x) for x in spelt], np.int64)
+        self.begins = np.cumsum(self.widths) - self.widths
         inside = "".join(name for name, *_ in pieces if len(name) > 1)
         if any(MARK in name.lstrip(MARK) for name, *_ in pieces):
             self.units = re.compile(r"(?s).+")
@@ -175,28 +184,32 @@ class Vocabulary:
         return out
 
     def alone(self, unit: str) -> list[int]:
-        """One long unit: all substrings probed at once, then a walk over those that are pieces."""
+        """One long unit: substrings probed a stretch at a time, then a walk over those that are pieces; memory is the walk's own."""
         length = len(unit)
         h = self.running(unit)
-        found: list[list[tuple[int, int, float]]] = [[] for _ in range(length + 1)]
-        for size in self.tables:
-            if size > length:
-                break
-            for k, i, score in zip(*map(np.ndarray.tolist, self.probe(h[size:] - h[:-size] * self.powers[size], size)), strict=True):
-                found[k + size].append((size, i, score))
-        best, back = [0.0] * (length + 1), [(1, -1)] * (length + 1)
-        for end in range(1, length + 1):
-            top, how = best[end - 1] + self.fallback, (1, -1)
-            for size, i, s in found[end]:
-                if size == 1 or best[end - size] + s > top:
-                    top, how = best[end - size] + s, (size, i)
-            best[end], back[end] = top, how
+        best, sizes_back, ids_back = [0.0] * (length + 1), np.ones(length + 1, np.int32), np.full(length + 1, -1, np.int32)
+        for low in range(1, length + 1, self.STRETCH):
+            high = min(low + self.STRETCH, length + 1)
+            found: dict[int, list[tuple[int, int, float]]] = {}
+            for size in self.tables:
+                a, b = max(low - size, 0), high - size
+                if b > a:
+                    for k, i, score in zip(*map(np.ndarray.tolist, self.probe(h[a + size : b + size] - h[a:b] * self.powers[size], size)), strict=True):
+                        found.setdefault(a + k + size, []).append((size, i, score))
+            for end in range(low, high):
+                top, how = best[end - 1] + self.fallback, None
+                for size, i, s in found.get(end, ()):
+                    if size == 1 or best[end - size] + s > top:
+                        top, how = best[end - size] + s, (size, i)
+                best[end] = top
+                if how:
+                    sizes_back[end], ids_back[end] = how
         ids, sizes, at = [], [], length
+        back, named = sizes_back.tolist(), ids_back.tolist()
         while at:
-            size, i = back[at]
-            ids.append(i)
-            sizes.append(size)
-            at -= size
+            ids.append(named[at])
+            sizes.append(back[at])
+            at -= back[at]
         return self.spelt(unit, ids[::-1], sizes[::-1])
 
     @staticmethod
@@ -217,8 +230,17 @@ class Vocabulary:
 
     def decode(self, ids) -> str:
         """The text of ids; ids without a piece give nothing."""
-        get = self.bytes_of.get
-        return b"".join([get(i, b"") for i in ids]).decode("utf-8", "replace")[1:]
+        return self.decode_all(np.array(ids, np.int64), np.array([len(ids)]))[0]
+
+    def decode_all(self, flat: np.ndarray, counts: np.ndarray) -> list[str]:
+        """The texts of lists of ids, one after the other in flat: the bytes of all pieces are gathered at once."""
+        known = (flat >= 0) & (flat < len(self.widths))
+        i = np.where(known, flat, 0)
+        width = np.where(known, self.widths[i], 0)
+        ends = np.concatenate(([0], np.cumsum(width)))
+        raw = self.spellings[np.repeat(self.begins[i] - ends[:-1], width) + np.arange(ends[-1])].tobytes()
+        cuts = ends[np.concatenate(([0], np.cumsum(counts)))].tolist()
+        return [raw[a:b].decode("utf-8", "replace")[1:] for a, b in itertools.pairwise(cuts)]
 
 
 def encode(docs: DataFrame, vocabulary: str = VOCABULARY, remember: int = 400_000) -> DataFrame:
@@ -260,9 +282,15 @@ def decode(encoded: DataFrame, vocabulary: str = VOCABULARY, keep_ids: bool = Fa
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = Vocabulary(vocabulary)
         for batch in batches:
-            for start in range(0, batch.num_rows, 200):
-                part = batch.slice(start, 200)
-                texts = [v.decode(ids or []) for ids in part.column("ids").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), *(part.column(c) for c in kept[1:]), pa.array(texts, pa.string())], [*kept, "text"])
+            counts = pc.fill_null(pc.list_value_length(batch.column("ids")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            ends = np.cumsum(counts)
+            start = 0
+            while start < batch.num_rows:
+                # as many rows as have a million ids, one at least
+                stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + (1 << 20), "right")))
+                part = batch.slice(start, stop - start)
+                flat = pc.fill_null(part.column("ids").flatten(), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), *(part.column(c) for c in kept[1:]), pa.array(v.decode_all(flat, counts[start:stop]), pa.string())], [*kept, "text"])
+                start = stop
 
     return encoded.select(*(kept if keep_ids else ["doc_id", "ids"])).mapInArrow(run, f"{SCHEMA if keep_ids else 'doc_id long'}, text string")

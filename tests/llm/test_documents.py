@@ -404,6 +404,29 @@ def test_pieces(docs, none):
     assert pieces.encode(none).collect() == []
 
 
+def test_long_units_in_stretches(monkeypatch):
+    v = pieces.Vocabulary()
+    rng = random.Random(8)
+    unit = "".join(rng.choice("abcdeinorst漢\u2603") for _ in range(700))
+    whole = v.alone(unit)
+    monkeypatch.setattr(pieces.Vocabulary, "STRETCH", 37)
+    assert v.alone(unit) == whole and v.decode(v.encode(unit)) == unit
+
+
+def test_a_megabyte_without_blanks():
+    v = pieces.Vocabulary()
+    text = "thequickbrownfox" * 65_536
+    ids = v.encode(text)
+    assert v.decode(ids) == text and len(ids) < len(text) / 2
+
+
+def test_decoding_skips_ids_without_a_piece(spark):
+    v = pieces.Vocabulary()
+    ids = v.encode("some words")
+    d = spark.createDataFrame([(1, ids), (2, [*ids[:1], -5, 10**6, None, *ids[1:]]), (3, None), (4, [])], "doc_id long, ids array<int>")
+    assert {r.doc_id: r.text for r in pieces.decode(d).collect()} == {1: "some words", 2: "some words", 3: "", 4: ""}
+
+
 def test_sentencepiece_query_decodes_its_ids(docs, tmp_path):
     from quernstone.llm import queries
 
