@@ -24,6 +24,8 @@ def named(by: str) -> Column:
 COMMON = 1 << 20
 #: Keys that are broadcast to find their sets; beyond, they are shuffled.
 BROADCAST = 200_000
+#: Tokens that two prefixes must share: prefixes are longer by all but one of them.
+SHARED = 3
 
 
 def token_sets(rows: DataFrame, key: str, text: str, by: str) -> DataFrame:
@@ -39,7 +41,7 @@ def representatives(sets: DataFrame, key: str, by: str) -> DataFrame:
 
 
 def prefixes(sets: DataFrame, key: str, percent: int) -> DataFrame:
-    """(key, n, t, i): of each set of n tokens the first n - ceil(percent * n / 100) + 1 in the order of frequency, then hash.
+    """(key, n, t, i): of each set of n tokens the first n - ceil(percent * n / 100) + SHARED in the order of frequency, then hash.
 
     Frequencies count for the tokens that are common enough to matter; all others come first, by their hashes alone.
     """
@@ -63,7 +65,7 @@ def prefixes(sets: DataFrame, key: str, percent: int) -> DataFrame:
                 df = np.where(tokens[at] == flat, times[at], 0)
             order = np.lexsort((flat, df, doc))
             i = np.arange(len(flat)) - np.repeat(np.cumsum(n) - n, n)
-            kept = i < (n - (n * percent + 99) // 100 + 1)[doc]
+            kept = i < (n - (n * percent + 99) // 100 + SHARED)[doc]
             take = pa.array(doc[kept])
             yield pa.RecordBatch.from_arrays([b.column(key).take(take), pa.array(n[doc[kept]].astype(np.int32)), pa.array(flat[order][kept]), pa.array((i[kept] + 1).astype(np.int32))], [key, "n", "t", "i"])
 
@@ -76,7 +78,10 @@ def similar_sets(sets: DataFrame, key: str, by: str, percent: int) -> DataFrame:
     firsts = prefixes(sets, key, percent).join(reps.select(F.col("rep").alias(key)), key, "left_semi")
     x, y = (firsts.select("t", F.col(key).alias(s), F.col("n").alias(f"n{s}"), F.col("i").alias(f"i{s}")) for s in "ab")
     room = f"(least(ia, ib) + least(na - ia, nb - ib)) * {100 + percent} >= (na + nb) * {percent}"
-    met = x.join(y, "t").where("a < b").where(F.expr(f"least(na, nb) * 100 >= greatest(na, nb) * {percent} and {room}")).select("a", "b").distinct()
+    met = x.join(y, "t").where("a < b").where(F.expr(f"least(na, nb) * 100 >= greatest(na, nb) * {percent} and {room}"))
+    # as many as the smaller of both overlaps, for sets of very few tokens
+    enough = F.expr(f"c >= least({SHARED}, (least(na, nb) * {percent} + 99) div 100)")
+    met = met.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("c")).where(enough).select("a", "b")
     met = materialise(met, "token-pairs")
     asked = materialise(met.select(F.col("a").alias(key)).union(met.select("b")).distinct(), "token-asked")
     few = asked.count() <= BROADCAST
@@ -89,8 +94,8 @@ def similar_sets(sets: DataFrame, key: str, by: str, percent: int) -> DataFrame:
 def similar_pairs(rows: DataFrame, key: str, text: str, by: str, percent: int = 90) -> DataFrame:
     """(a, b) with a < b: rows of one `by` whose token sets have a Jaccard of percent / 100 or more; empty sets have none.
 
-    Similar sets share a token among their first n - ceil(percent * n / 100) + 1 in any one order, rare ones first, so
-    only those meet, and of these only pairs whose places of that token leave room for the overlap that similarity takes.
+    Similar sets share SHARED tokens among their first n - ceil(percent * n / 100) + SHARED in any one order, rare ones
+    first, so only those are compared, and only if the places of these leave room for the overlap that similarity takes.
     Tokens are 64-bit hashes, made where texts are read, and only prefixes are shuffled. Sets that are equal are joined as
     one by their hash, each to the first, beside the pairs of different sets, so that copies need not be paired with each
     other. Rows with equal keys take part as one text each: keys should be unique.
