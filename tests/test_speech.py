@@ -279,11 +279,10 @@ def test_trials_are_balanced_and_different(spark):
 def test_small_numbers_are_drawn_evenly(spark):
     """Chi-square of how often each number comes over many seeds, three deviations at most."""
     for total, wanted, seeds in ((31, 10, 60), (74, 10, 60), (300, 200, 40)):
-        seen = Counter()
-        for seed in range(0, seeds):
-            bits = trials.half_bits(total)
-            values = [r[0] for r in spark.range(4**bits).select(trials.shuffled(F.col("id"), bits, seed).alias("n")).where(F.col("n") < total).collect()]
-            seen.update(values[:wanted])
+        seen, bits = Counter(), trials.half_bits(total)
+        drawn = spark.range(4**bits).orderBy("id").select(*[trials.shuffled(F.col("id"), bits, seed).alias(f"s{seed}") for seed in range(seeds)]).collect()
+        for seed in range(seeds):
+            seen.update([r[seed] for r in drawn if r[seed] < total][:wanted])
         mean = seeds * wanted / total
         chi = sum((seen[k] - mean) ** 2 for k in range(total)) / (mean * (1 - wanted / total))
         assert abs(chi - (total - 1)) < 3 * math.sqrt(2 * (total - 1))
