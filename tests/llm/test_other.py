@@ -71,7 +71,7 @@ def test_few_or_no_vectors(spark):
 
 def test_every_query_is_registered():
     names = {n.split("_")[0] for n in queries.queries()}
-    assert names == {f"op{k}" for k in range(1, 11)}
+    assert names == {f"op{k}" for k in range(1, 14)}
     assert set(queries.oracle_sql()) <= set(queries.queries())
 
 
