@@ -72,16 +72,13 @@ def prefixes(sets: DataFrame, key: str, percent: int) -> DataFrame:
     return sets.select(key, "hs").mapInArrow(cut, f"`{key}` {kind}, n int, t long, i int")
 
 
-def similar_sets(sets: DataFrame, key: str, by: str, percent: int) -> DataFrame:
-    """(by, a, b), written: pairs of first rows of similar sets."""
-    reps = representatives(sets, key, by)
-    firsts = prefixes(sets, key, percent).join(reps.select(F.col("rep").alias(key)), key, "left_semi")
-    x, y = (firsts.select("t", F.col(key).alias(s), F.col("n").alias(f"n{s}"), F.col("i").alias(f"i{s}")) for s in "ab")
-    room = f"(least(ia, ib) + least(na - ia, nb - ib)) * {100 + percent} >= (na + nb) * {percent}"
-    met = x.join(y, "t").where("a < b").where(F.expr(f"least(na, nb) * 100 >= greatest(na, nb) * {percent} and {room}"))
-    # as many as the smaller of both overlaps, for sets of very few tokens
-    enough = F.expr(f"c >= least({SHARED}, (least(na, nb) * {percent} + 99) div 100)")
-    met = met.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("c")).where(enough).select("a", "b")
+def enough(a: str, b: str, percent: int) -> Column:
+    """Whether c shared prefix tokens are as many as two similar sets of a and b tokens have: fewer for sets of very few tokens."""
+    return F.expr(f"least({a}, {b}) * 100 >= greatest({a}, {b}) * {percent} and c >= least({SHARED}, (least({a}, {b}) * {percent} + 99) div 100)")
+
+
+def verified(met: DataFrame, sets: DataFrame, key: str, by: str, percent: int) -> DataFrame:
+    """(by, a, b), written: those of the pairs (a, b) whose sets are similar."""
     met = materialise(met, "token-pairs")
     asked = materialise(met.select(F.col("a").alias(key)).union(met.select("b")).distinct(), "token-asked")
     few = asked.count() <= BROADCAST
@@ -91,6 +88,30 @@ def similar_sets(sets: DataFrame, key: str, by: str, percent: int) -> DataFrame:
     return materialise(both.where(shared * 100 >= (F.size("ta") + F.size("tb") - shared) * percent).select(by, "a", "b"), "similar-sets")
 
 
+def similar_sets(sets: DataFrame, key: str, by: str, percent: int, first_wins: bool = False) -> DataFrame:
+    """(by, a, b): pairs of first rows of similar sets.
+
+    With first_wins, only those pairs that decide which rows stay: a row that meets no earlier one in any prefix token
+    stays for sure, what is similar to it goes, and what goes is compared with nothing else. So near copies of one
+    row make a pair each, and not one with each other.
+    """
+    reps = representatives(sets, key, by)
+    firsts = materialise(prefixes(sets, key, percent).join(reps.select(F.col("rep").alias(key)), key, "left_semi"), "token-prefixes")
+    led = None
+    if first_wins:
+        met = firsts.join(firsts.groupBy("t").agg(F.min(key).alias("_m")), "t")
+        sure = met.groupBy(key).agg(F.max(F.col("_m") < F.col(key)).alias("_later"), F.max("n").alias("_nm")).where("not _later").select(F.col(key).alias("_m"), "_nm")
+        near = met.where(F.col("_m") < F.col(key)).join(sure, "_m").groupBy("_m", "_nm", key, "n").agg(F.count("*").alias("c"))
+        led = verified(near.where(enough("_nm", "n", percent)).select(F.col("_m").alias("a"), F.col(key).alias("b")), sets, key, by, percent)
+        firsts = firsts.join(led.select(F.col("b").alias(key)).distinct(), key, "left_anti")
+    x, y = (firsts.select("t", F.col(key).alias(s), F.col("n").alias(f"n{s}"), F.col("i").alias(f"i{s}")) for s in "ab")
+    room = f"(least(ia, ib) + least(na - ia, nb - ib)) * {100 + percent} >= (na + nb) * {percent}"
+    met = x.join(y, "t").where("a < b").where(F.expr(f"least(na, nb) * 100 >= greatest(na, nb) * {percent} and {room}"))
+    met = met.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("c")).where(enough("na", "nb", percent)).select("a", "b")
+    rest = verified(met, sets, key, by, percent)
+    return rest if led is None else rest.unionByName(led)
+
+
 def similar_pairs(rows: DataFrame, key: str, text: str, by: str, percent: int = 90) -> DataFrame:
     """(a, b) with a < b: rows of one `by` whose token sets have a Jaccard of percent / 100 or more; empty sets have none.
 
@@ -180,6 +201,6 @@ def greedy_kept(rows: DataFrame, key: str, text: str, by: str, percent: int = 90
     `by` are a group of their own.
     """
     sets = token_sets(rows, key, text, by)
-    state = resolved(similar_sets(sets, key, by, percent), by)
+    state = resolved(similar_sets(sets, key, by, percent, first_wins=True), by)
     decided = representatives(sets, key, by).join(state, "rep", "left").select(by, "h", "rep", F.coalesce("keep", F.lit(True)).alias("keep"))
     return sets.select(key, by, "h").join(decided, [by, "h"]).select(key, (~F.col("keep") | (F.col(key) != F.col("rep"))).alias("dropped"))
