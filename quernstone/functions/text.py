@@ -101,9 +101,12 @@ def code_mixed(text: Column, language: Column) -> Column:
 
 
 def annotated(text: Column, language: Column) -> Column:
-    """Runs of Latin words of other languages in brackets; a cut transcript ends in a dash."""
+    """Runs of Latin words of other languages in brackets; a cut transcript ends in a dash.
+
+    Words are repeated possessively, which Java's matcher does in a loop: given back, a long run takes a stack frame a word.
+    """
     t = F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
-    bracketed = F.when(language != "en", F.regexp_replace(t, r"([A-Za-z][A-Za-z'\-]*(?:\s+[A-Za-z][A-Za-z'\-]*)*)", "[$1]")).otherwise(t)
+    bracketed = F.when(language != "en", F.regexp_replace(t, r"([A-Za-z][A-Za-z'\-]*+(?:\s++[A-Za-z][A-Za-z'\-]*+)*+)", "[$1]")).otherwise(t)
     return F.when(truncated(text), F.concat(F.regexp_replace(bracketed, "[ .]+$", ""), F.lit(" —"))).otherwise(bracketed)
 
 

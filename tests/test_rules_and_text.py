@@ -70,6 +70,12 @@ def test_truncation_and_annotation(spark):
     assert a("అది very good అని.", "te") == "అది [very good] అని." and a("cut off .", "en") == "cut off ." and a("cut off", "en") == "cut off —"
 
 
+def test_long_latin_run_is_bracketed(spark):
+    run = " ".join(["it's well-known"] * 40_000)
+    got = spark.createDataFrame([(f"అది {run}  4 ab\nc.", "te")], "x string, l string").select(T.annotated(F.col("x"), F.col("l")).alias("r")).first().r
+    assert got == f"అది [{run}]  4 [ab\nc]."
+
+
 def test_labels(spark):
     assert one(spark, T.folded_label(F.col("x")), x="Anger/x") == "angry" and one(spark, T.folded_label(F.col("x")), x="odd") == "neutral"
     assert one(spark, T.first_known(F.col("x"), ("angry", "sad")), x="生气/Angry") == "angry" and one(spark, T.first_known(F.col("x"), ("sad",)), x="x") == "other"
