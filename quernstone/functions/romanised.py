@@ -16,22 +16,23 @@ VOWELS = dict(zip("అఆఇఈఉఊఋౠఌౡఎఏఐఒఓఔ", "a aa i ii
 SIGNS = dict(zip("ా ి ీ ు ూ ృ ౄ ె ే ై ొ ో ౌ ౢ ౣ".split(), "aa i ii u uu r rr e ee ai o oo au l ll".split(), strict=True))
 MUTE = "్"
 OTHERS = dict(zip("ఁంః", "nmh", strict=True)) | {chr(0x0C66 + d): str(d) for d in range(10)}
-SCRIPT = "ఀ-౿"
-SYLLABLE = re.compile(f"([{''.join(CONSONANTS)}])([{''.join(SIGNS)}{MUTE}]?)|[{SCRIPT}]")
-
-
-def syllable(m: re.Match) -> str:
-    if m[1]:
-        return CONSONANTS[m[1]] + ("" if m[2] == MUTE else SIGNS.get(m[2], "a"))
-    # a sign without a consonant is its vowel; marks without a sound are none
-    return VOWELS.get(m[0]) or SIGNS.get(m[0]) or OTHERS.get(m[0], "")
+# Surrogates, which no text has: before a sign, after a consonant, and in place of what has no sound.
+SIGN, BARE, NOTHING = "\ud800", "\ud801", "\ud802"
+LETTERS = {chr(c): NOTHING for c in range(0x0C00, 0x0C80)} | OTHERS | VOWELS | {c: SIGN + x for c, x in SIGNS.items()} | {MUTE: SIGN} | {c: x + BARE for c, x in CONSONANTS.items()}
+ACCENTS = re.compile(f"[{''.join(c for c in map(chr, range(0x0370)) if unicodedata.combining(c))}]+")
 
 
 def romanise(text: str) -> str:
     """Lower-case Latin letters, without accents and with single blanks; no letter of the script is left, other scripts stay."""
-    latin = SYLLABLE.sub(syllable, unicodedata.normalize("NFC", text))
-    plain = "".join(c for c in unicodedata.normalize("NFD", latin) if not unicodedata.combining(c) or ord(c) > 0x36F)
-    return " ".join(unicodedata.normalize("NFC", plain).lower().split())
+    # a sign or the mute sign right after a consonant takes the place of its vowel; elsewhere a sign is its own vowel
+    latin = unicodedata.normalize("NFC", text)
+    for letter, sound in LETTERS.items():
+        if letter in latin:
+            latin = latin.replace(letter, sound)
+    latin = latin.replace(BARE + SIGN, "").replace(BARE, "a").replace(SIGN, "").replace(NOTHING, "")
+    if not latin.isascii():
+        latin = unicodedata.normalize("NFC", ACCENTS.sub("", unicodedata.normalize("NFD", latin)))
+    return " ".join(latin.lower().split())
 
 
 @F.pandas_udf(StringType())

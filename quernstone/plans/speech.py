@@ -128,4 +128,5 @@ SELECT doc_id, md5(trim(replace(replace(regexp_replace(replace(t, '~', ''), '([k
 def romanised_texts(spark, sf):
     """Texts whose letters are put into an Indic script, and romanised back: a consonant has its own vowel unless a sign follows."""
     t = F.translate(F.lower(F.regexp_replace(F.regexp_replace("text", r"[^ -~\s]", ""), "~", "")), LATIN, TELUGU)
-    return table(spark, sf, "documents").select("doc_id", F.md5(romanised.romanised(t)).alias("digest"))
+    # a column of its own, so that it is made once and not wherever romanised() reads it
+    return table(spark, sf, "documents").select("doc_id", t.alias("t")).select("doc_id", F.md5(romanised.romanised(F.col("t"))).alias("digest"))

@@ -81,6 +81,22 @@ def test_romanised_words(word, latin):
     assert romanised.romanise(word) == latin
 
 
+def test_marks_in_odd_places():
+    # a sign after a soundless mark or a vowel is its own vowel, and the marks of other blocks go only up to U+036F
+    for text, latin in (("క\u0c56ి", "kai"), ("అి్", "ai"), ("క్ి", "ki"), ("కిు", "kiu"), ("క\u0c46\u0c56", "kai"), ("é\u0327\u034f\u1ab0", "e\u034f\u1ab0")):
+        assert romanised.romanise(text) == latin
+
+
+def test_text_is_made_once_for_romanisation(spark, monkeypatch):
+    from quernstone.plans import speech
+
+    rows = spark.createDataFrame([(1, "Kit rag ~ é")], "doc_id long, text string")
+    monkeypatch.setattr(speech, "table", lambda *_: rows)
+    df = speech.romanised_texts(spark, "")
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("translate(") == 1
+    assert df.first().digest == __import__("hashlib").md5(b"kita raaga").hexdigest()
+
+
 def test_no_letter_of_the_script_is_left(spark):
     every = "".join(chr(c) for c in range(0x0C00, 0x0C80))
     rng = random.Random(1)
