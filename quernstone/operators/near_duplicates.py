@@ -24,6 +24,8 @@ def named(by: str) -> Column:
 COMMON = 1 << 20
 #: Keys that are broadcast to find their sets; beyond, they are shuffled.
 BROADCAST = 200_000
+#: Tokens that a worker sorts at once, or those of one set, if more.
+AT_ONCE = 1 << 17
 #: Tokens that two prefixes must share: prefixes are longer by all but one of them.
 SHARED = 3
 
@@ -40,6 +42,34 @@ def representatives(sets: DataFrame, key: str, by: str) -> DataFrame:
     return sets.groupBy(by, "h").agg(F.min(key).alias("rep"))
 
 
+def slices(batch: pa.RecordBatch, name: str) -> Iterator[pa.RecordBatch]:
+    """A batch in slices whose lists in column `name` have at most AT_ONCE elements in all, or of one row."""
+    ends = np.cumsum(pc.list_value_length(batch.column(name)).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + AT_ONCE, "right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
+def cut_sets(batches: Iterator[pa.RecordBatch], key: str, percent: int, tokens: np.ndarray, times: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The prefixes of batches of sets, in memory that follows AT_ONCE and the largest set; tokens, in order, and their frequencies are the common ones."""
+    for b in (part for batch in batches for part in slices(batch, "hs")):
+        n = pc.list_value_length(b.column("hs")).to_numpy(zero_copy_only=False).astype(np.int64)
+        flat = b.column("hs").flatten().to_numpy(zero_copy_only=False)
+        doc = np.repeat(np.arange(len(n)), n)
+        df = np.zeros(len(flat), np.int64)
+        if len(tokens):
+            at = np.minimum(np.searchsorted(tokens, flat), len(tokens) - 1)
+            df = np.where(tokens[at] == flat, times[at], 0)
+        order = np.lexsort((flat, df, doc))
+        i = np.arange(len(flat)) - np.repeat(np.cumsum(n) - n, n)
+        kept = i < (n - (n * percent + 99) // 100 + SHARED)[doc]
+        take = pa.array(doc[kept])
+        yield pa.RecordBatch.from_arrays([b.column(key).take(take), pa.array(n[doc[kept]].astype(np.int32)), pa.array(flat[order][kept]), pa.array((i[kept] + 1).astype(np.int32))], [key, "n", "t", "i"])
+
+
 def prefixes(sets: DataFrame, key: str, percent: int) -> DataFrame:
     """(key, n, t, i): of each set of n tokens the first n - ceil(percent * n / 100) + SHARED in the order of frequency, then hash.
 
@@ -54,20 +84,7 @@ def prefixes(sets: DataFrame, key: str, percent: int) -> DataFrame:
     kind = sets.schema[key].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, times = known.value
-        for b in batches:
-            n = pc.list_value_length(b.column("hs")).to_numpy(zero_copy_only=False).astype(np.int64)
-            flat = b.column("hs").flatten().to_numpy(zero_copy_only=False)
-            doc = np.repeat(np.arange(len(n)), n)
-            df = np.zeros(len(flat), np.int64)
-            if len(tokens):
-                at = np.minimum(np.searchsorted(tokens, flat), len(tokens) - 1)
-                df = np.where(tokens[at] == flat, times[at], 0)
-            order = np.lexsort((flat, df, doc))
-            i = np.arange(len(flat)) - np.repeat(np.cumsum(n) - n, n)
-            kept = i < (n - (n * percent + 99) // 100 + SHARED)[doc]
-            take = pa.array(doc[kept])
-            yield pa.RecordBatch.from_arrays([b.column(key).take(take), pa.array(n[doc[kept]].astype(np.int32)), pa.array(flat[order][kept]), pa.array((i[kept] + 1).astype(np.int32))], [key, "n", "t", "i"])
+        return cut_sets(batches, key, percent, *known.value)
 
     return sets.select(key, "hs").mapInArrow(cut, f"`{key}` {kind}, n int, t long, i int")
 

@@ -1,5 +1,8 @@
 import random
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -147,3 +150,21 @@ def test_rows_without_a_group_are_kept_and_compared(spark):
     rows = [(1, "a b c d", None), (2, "a b c d", None), (3, "a b c d", "en"), (4, "x y", None)]
     got = {r.k: r.dropped for r in near_duplicates.greedy_kept(spark.createDataFrame(rows, "k int, text string, lang string"), "k", "text", "lang").collect()}
     assert got == {1: False, 2: True, 3: False, 4: False}
+
+
+def test_prefixes_are_cut_in_bounded_memory():
+    rng = np.random.default_rng(8)
+    n = np.concatenate(([0], rng.integers(0, 400, 5000), [200_000, 0, 3]))
+    flat = rng.integers(-(2**63), 2**63, int(n.sum()))
+    sets = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n))).astype(np.int32)), pa.array(flat))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(n))), sets], ["k", "hs"])
+    common = np.sort(flat[::50])
+    tracemalloc.start()
+    got, peak = 0, 0
+    for part in near_duplicates.cut_sets(iter([batch.slice(1)]), "k", 90, common, np.arange(len(common)) + 2):
+        got += part.num_rows
+        peak = max(peak, tracemalloc.get_traced_memory()[1])
+    tracemalloc.stop()
+    assert got == int(np.minimum(n, n - (n * 90 + 99) // 100 + near_duplicates.SHARED).sum())
+    # all 1.2 million tokens at once take some 60 MB
+    assert peak < 30 << 20
