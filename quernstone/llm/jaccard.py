@@ -204,12 +204,31 @@ def parities(s: np.ndarray) -> bytes:
     return np.packbits(np.bincount(place, minlength=BITS) % 2 == 1, bitorder="little").tobytes()
 
 
+def fixed_binary(column: pa.ChunkedArray) -> np.ndarray:
+    """The bytes of a binary column without nulls, end to end, without an object for each value."""
+    out = [np.zeros(0, np.uint8)]
+    for chunk in column.chunks:
+        ends = np.frombuffer(chunk.buffers()[1], np.int32)[chunk.offset : chunk.offset + len(chunk) + 1] if len(chunk) else np.zeros(1, np.int32)
+        if ends[-1] > ends[0]:
+            out.append(np.frombuffer(chunk.buffers()[2], np.uint8)[ends[0] : ends[-1]])
+    return np.concatenate(out)
+
+
+def bits_apart(bits: np.ndarray, i: np.ndarray, j: np.ndarray, together: int = 1 << 14) -> np.ndarray:
+    """How many bits the rows i and j differ in, so many pairs at a time: the rows of a pair take a hundred times what its number does."""
+    out = np.zeros(len(i), np.int64)
+    for a in range(0, len(i), together):
+        k = slice(a, a + together)
+        out[k] = np.bitwise_count(bits[i[k]] ^ bits[j[k]]).sum(axis=1, dtype=np.int64)
+    return out
+
+
 def met_in_lists(left: DataFrame, percent: int, all_pairs: bool) -> DataFrame:
     """(u, v): the pairs of different components in lists (list, doc, size, component, bits) that may link; or the nearest of each node outside its list's largest component."""
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         lists, doc, size, group = (table.column(c).to_numpy() for c in ("list", "doc", "size", "component"))
-        bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(len(doc), -1)
+        bits = fixed_binary(table.column("bits")).view(np.uint64).reshape(len(doc), -1)
         order = np.lexsort((group, lists))
         lists, doc, size, group, bits = lists[order], doc[order], size[order], group[order], bits[order]
         n, k = size >> 20, size & ((1 << 20) - 1)
@@ -231,7 +250,7 @@ def met_in_lists(left: DataFrame, percent: int, all_pairs: bool) -> DataFrame:
             j = np.arange(len(i)) - np.repeat(total[a:b] - total[a], many[rows[a:b]]) + lo[i]
             some = (group[i] != group[j]) & (~outside[j] | (i > j) | (not all_pairs)) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
             i, j = i[some], j[some]
-            apart = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1, dtype=np.int64)
+            apart = bits_apart(bits, i, j)
             some = apart * (100 + percent) <= (n[i] + n[j]) * (100 - percent)
             i, j, apart = i[some], j[some], apart[some]
             if not all_pairs:

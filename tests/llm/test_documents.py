@@ -635,3 +635,20 @@ def test_shards_are_even_and_hold_groups(spark):
     where = {r.doc_id: r.shard for r in got}
     assert sum(where[1000 + 2 * k] == where[1001 + 2 * k] for k in range(50)) >= 45
     assert len({where[2000 + k] for k in range(300)}) <= 5
+
+
+def test_parities_are_compared_in_bounded_memory():
+    rng = np.random.default_rng(9)
+    rows = [rng.bytes(jaccard.BITS // 8) for _ in range(50)]
+    column = pa.chunked_array([pa.array(rows[:20], pa.binary()).slice(5), pa.array([], pa.binary()), pa.array(rows[20:], pa.binary())])
+    bits = jaccard.fixed_binary(column).view(np.uint64).reshape(45, -1)
+    assert bits.tobytes() == b"".join(rows[5:])
+    i, j = rng.integers(0, 45, (2, 1 << 19))
+    tracemalloc.start()
+    apart = jaccard.bits_apart(bits, i, j)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # at once, the rows of so many pairs take some 200 MB
+    assert peak < 20 << 20
+    some = slice(0, 70_000)
+    assert (apart[some] == np.bitwise_count(bits[i[some]] ^ bits[j[some]]).sum(axis=1)).all()
