@@ -3,9 +3,12 @@
 import hashlib
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -648,7 +651,7 @@ def test_parities_are_compared_in_bounded_memory():
     apart = jaccard.bits_apart(bits, i, j)
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
-    # at once, the rows of so many pairs take some 200 MB
+    # at once, the rows of so many pairs take some 140 MB
     assert peak < 20 << 20
     some = slice(0, 70_000)
     assert (apart[some] == np.bitwise_count(bits[i[some]] ^ bits[j[some]]).sum(axis=1)).all()
