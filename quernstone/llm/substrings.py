@@ -263,15 +263,16 @@ def partly_repeated(contexts: DataFrame, length: int, salt_at: int) -> DataFrame
     def within(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         texts = table.column("bytes").to_pylist()
         salts, anchors, names = (table.column(c).to_numpy() for c in ("salts", "anchor", "context"))
-        number, start, _, again = repeated_windows(texts, length)
+        number, start, cls, again = repeated_windows(texts, length)
         rows = [(anchors[k], names[k], lo, hi, None, None, None, None, None) for k, spans in spans_of(number[again], start[again]) for lo, hi in spans]
-        # windows of anchors that other shards hold too: packed by range of their keys
+        # different windows of anchors that other shards hold too, packed by range of their keys; what is repeated here is known, so it is met by others and not asked for
         cross = np.flatnonzero(salts[number] > 1)
+        cross = cross[np.concatenate(([True], cls[cross][1:] != cls[cross][:-1]))] if len(cross) else cross
         keys = window_keys(texts, number[cross], start[cross], length)
         ranges = (keys[:, 0] % np.uint64(shards)).astype(np.int64)
         order = np.lexsort((keys[:, 1], keys[:, 0], ranges))
         cuts = np.searchsorted(ranges[order], np.arange(shards + 1)).tolist()
-        packed = [keys[order].astype(">u8"), anchors[number[cross][order]], names[number[cross][order]], start[cross][order].astype(np.int32)]
+        packed = [keys[order].astype(">u8"), anchors[number[cross][order]], names[number[cross][order]], np.where(again[cross], -1, start[cross])[order].astype(np.int32)]
         rows += [(None, None, None, None, r, *(x[a:b].tobytes() for x in packed)) for r, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
         kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 4]
         columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 9, kinds, strict=True)]
@@ -291,8 +292,9 @@ def partly_repeated(contexts: DataFrame, length: int, salt_at: int) -> DataFrame
         low, high, union = np.minimum.reduceat(shard[order], first), np.maximum.reduceat(shard[order], first), every[order][first]
         places = [np.searchsorted(union, mine) for mine in lists]
         hit = np.concatenate([(low[at] != k) | (high[at] != k) for k, at in enumerate(places)])
-        anchor, context, start = (np.frombuffer(b"".join(table.column(c).to_pylist()), t)[hit] for c, t in (("anchors", np.int64), ("contexts", np.int64), ("starts", np.int32)))
-        return pa.table({"anchor": pa.array(anchor), "context": pa.array(context), "lo": pa.array(start), "hi": pa.array(start)})
+        anchor, context, start = (np.frombuffer(b"".join(table.column(c).to_pylist()), t) for c, t in (("anchors", np.int64), ("contexts", np.int64), ("starts", np.int32)))
+        hit &= start >= 0
+        return pa.table({"anchor": anchor[hit], "context": context[hit], "lo": start[hit], "hi": start[hit]})
 
     keyed = found.where("keys is not null").select("range", "keys", "anchors", "contexts", "starts")
     merged = keyed.groupBy("range").applyInArrow(across, PART)

@@ -324,6 +324,19 @@ def test_substrings(docs, length, gram, salt):
     assert Counter(map(tuple, got)) == brute_substrings(rows(), length)
 
 
+def test_shards_give_each_repeated_window_once(spark, monkeypatch):
+    """What a shard knows to be repeated does not come back from the other shards too."""
+    rng = random.Random(3)
+    common, pairs = prose(rng, 60), [prose(rng, 20) for _ in range(6)]
+    data = [(k, f"{prose(rng, 3)} {pairs[k % 6]} {common} {prose(rng, 3)}", "s") for k in range(24)]
+    given, islands = [], substrings.islands
+    monkeypatch.setattr(substrings, "islands", lambda windows: islands(given.append(windows) or windows))
+    got = substrings.dedup(frame(spark, data), 60, 16, 2).collect()
+    assert Counter(map(tuple, got)) == brute_substrings(data, 60)
+    windows = Counter((r.anchor, r.context, at) for r in given[0].collect() for at in range(r.lo, r.hi + 1))
+    assert windows and max(windows.values()) == 1
+
+
 def test_substrings_empty(none):
     assert substrings.dedup(none).collect() == []
 
