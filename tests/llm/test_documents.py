@@ -580,6 +580,32 @@ def test_similar_lines_are_found(spark):
     assert len(gone) >= 0.97 * len(later)
 
 
+def test_a_pair_of_several_blocks_is_made_once(spark):
+    """Of lines that share a long passage and are in components of their own, each pair comes from one of their blocks, and none is lost."""
+    import pyarrow as pa
+
+    rng = random.Random(6)
+    passage = prose(rng, 60)
+    names = [f"{prose(rng, 14)} {passage}".encode() for _ in range(40)]
+    texts = spark.createDataFrame([(k, x.decode(), k) for k, x in enumerate(names)], "id long, plain string, component long")
+    made = []
+    entries = lines.packed(texts, 16, True).collect()
+    by_part = {}
+    for r in entries:
+        by_part.setdefault(r.part, []).append(r)
+    shared = set()
+    for rows in by_part.values():
+        x = lines.Buckets(pa.table({c: pa.array([bytes(r[c]) if r[c] is not None else None for r in rows], pa.binary()) for c, _ in lines.PACKED}), lines.LATER_LANES)
+        for i, j in x.meetings(x.outside()):
+            ok = (x.ids[i] != x.ids[j]) & (x.apart(i, j) <= lines.LATER_NEAR + x.more[i])
+            shared |= {(max(a, b), min(a, b)) for a, b in zip(x.ids[i[ok]].tolist(), x.ids[j[ok]].tolist(), strict=True)}
+            one = ok & ~lines.share_any(x.below[i], x.below[j])
+            made += {(max(a, b), min(a, b)) for a, b in zip(x.ids[i[one]].tolist(), x.ids[j[one]].tolist(), strict=True)}
+    assert len(shared) > 50 and sorted(made) == sorted(shared)
+    got = lines.across(lines.packed(texts, 16, True), lines.LATER_NEAR, True).collect()
+    assert {(r.u, r.v) for r in got} == shared
+
+
 def test_short_lines_and_lines_without_blanks_are_deduplicated(spark):
     script = "\u6f22\u5b57\u304b\u306a\u4ea4\u3058\u308a\u306e\u4e00\u884c\u3067\u3059"
     data = [(k, f"Les.\nonly {'abcdef'[k] * 5} here\n{script}\n", "s") for k in range(6)]
