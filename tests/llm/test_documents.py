@@ -606,6 +606,33 @@ def test_a_pair_of_several_blocks_is_made_once(spark):
     assert {(r.u, r.v) for r in got} == shared
 
 
+def least_of_each(links):
+    least = {x: x for pair in links for x in pair}
+    for _ in least:
+        for a, b in links:
+            least[a] = least[b] = min(least[a], least[b])
+    return least
+
+
+@pytest.mark.parametrize("bound", [16, 1024])
+def test_lines_of_one_passage_make_rows_in_proportion(spark, monkeypatch, bound):
+    """Lines that share a long passage make rows as many as lines before they are compared, and what is similar comes together, in whole crowds and in bins."""
+    monkeypatch.setattr(lines, "CROWD", bound)
+    rng = random.Random(6)
+    passage = prose(rng, 60)
+    names = [f"{prose(rng, 5 + k % 5)} {passage}" for k in range(120)]
+    texts = spark.createDataFrame([(k, x, k // 2) for k, x in enumerate(names)], "id long, plain string, component long").cache()
+    pairs = [(r.u, r.v) for r in lines.across(lines.packed(texts, 16, True), lines.LATER_NEAR, True).collect()]
+    ok = lines.all_within([(names[u], names[v], int(max(len(names[u]), len(names[v])) * (1 - lines.SIMILAR) + 1e-9)) for u, v in pairs])
+    same = [(2 * k, 2 * k + 1) for k in range(60)]
+    links = [p for p, hit in zip(pairs, ok.tolist(), strict=True) if hit]
+    near = lines.crowds(lines.packed(texts, 16, False), lines.LATER_NEAR).cache()
+    assert len(pairs) > 10 * len(names) and 0 < len(links) < len(pairs) and near.count() <= 4 * len(names)
+    found = [(r.u, r.v) for r in lines.ties(texts, lines.components(near), 4, lines.LATER_NEAR, lines.SIMILAR).collect()]
+    assert set(found) <= set(links) and least_of_each(found + same) == least_of_each(links + same)
+    assert len(found) < 60 if bound > 120 else len(found) < len(links)
+
+
 def test_short_lines_and_lines_without_blanks_are_deduplicated(spark):
     script = "\u6f22\u5b57\u304b\u306a\u4ea4\u3058\u308a\u306e\u4e00\u884c\u3067\u3059"
     data = [(k, f"Les.\nonly {'abcdef'[k] * 5} here\n{script}\n", "s") for k in range(6)]
