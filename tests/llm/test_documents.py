@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import time
 import tracemalloc
 import zlib
 from collections import Counter
@@ -660,6 +661,36 @@ def test_edit_distance():
         assert lines.all_within([(a, b, most) for a, b, _ in pairs]).tolist() == [d <= most for *_, d in pairs]
 
 
+def test_edit_distance_of_long_lines_takes_time_by_their_changes():
+    rng = random.Random(10)
+    pairs = []
+    for k in range(6):
+        a = prose(rng, 7000)[:40_000]
+        b = "".join(c.upper() if j in (0, 20_000 + k, len(a) - 1) else c for j, c in enumerate(a)) + "!"
+        pairs += [(a, b, len(a) // 10), (b, a, 4), (a, b, 0)]
+    began = time.process_time()
+    assert lines.all_within(pairs).tolist() == [True, True, False] * 6
+    assert time.process_time() - began < 1
+
+
+def test_edit_distance_of_all_kinds_of_characters():
+    """Codes of one, two and four bytes, NUL and the values beside the marks, and sides of very different length, in one call."""
+    rng = random.Random(11)
+    pairs = []
+    for kinds in ("ab", "a", "\0\1\2b", "a\xfd\xfe\xff", "a\ufffd\ufffe\uffff", "a\U0001f600\U0010ffff"):
+        for _ in range(60):
+            a = "".join(rng.choice(kinds) for _ in range(rng.choice([1, 2, 7, 40, 90])))
+            b = changed(rng, a, rng.randint(0, 6)) if len(a) > 10 and rng.random() < 0.7 else "".join(rng.choice(kinds) for _ in range(rng.choice([0, 1, 30])))
+            pairs += [(a, b, most) for most in (0, 1, 3, 8, 30)]
+    assert lines.all_within(pairs).tolist() == [distance(a, b) <= most for a, b, most in pairs]
+
+
+def test_names_of_lines():
+    data, starts, ends, _, _ = lines.split_lines([b"one\n\n  two \x00\n", b"", b"\xc3\xa9", b"one"])
+    some = ends > starts
+    assert (lines.line_hashes(data, starts[some], 61) == lines.slice_hashes(data, 61)(starts[some], ends[some])).all()
+
+
 def test_very_long_lines(spark):
     rng = random.Random(9)
     long = prose(rng, 150_000)  # about a million characters
